@@ -1,0 +1,141 @@
+"""Rules, verdicts, routing and counts."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortloom import MAPPINGS, RULES, Rule, Severity, harmonize_many, validate
+from cohortloom.operators.crosswalk import empty_canonical
+from cohortloom.operators.rules import rules_named
+from cohortloom.schema import CANONICAL_COLUMNS, CANONICAL_SCHEMA
+
+BASE = dict.fromkeys(CANONICAL_COLUMNS) | {
+    "sample_id": "S1",
+    "source_study": "GSE1",
+    "diagnosis": "AD",
+    "age_censored": False,
+}
+
+
+def batch(spark, *overrides):
+    """One canonical row per override; ids differ unless given."""
+    rows = [BASE | {"sample_id": f"S{i}"} | override for i, override in enumerate(overrides)]
+    return spark.createDataFrame([tuple(row[c] for c in CANONICAL_COLUMNS) for row in rows], CANONICAL_SCHEMA)
+
+
+# (row, reasons, flags); flags also show up on rejected rows in the counts
+CASES = [
+    ({"sample_id": None}, "missing_sample_id", "missing_age"),
+    ({"sample_id": "  "}, "missing_sample_id", "missing_age"),
+    ({"source_study": None}, "missing_source_study", "missing_age"),
+    ({"source_study": "\t"}, "missing_source_study", "missing_age"),
+    ({"diagnosis": None}, "missing_diagnosis", "missing_age"),
+    ({"diagnosis": ""}, "diagnosis_not_recognized;missing_diagnosis", "missing_age"),
+    ({"diagnosis": "not-a-real-dx"}, "diagnosis_not_recognized", "missing_age"),
+    ({"sample_id": "DUP"}, "duplicate_sample_id", "missing_age"),
+    ({"sample_id": "DUP"}, "duplicate_sample_id", "missing_age"),
+    ({"braak_stage": 7}, "braak_out_of_range", "missing_age"),
+    ({"braak_stage": -1}, "braak_out_of_range", "ad_without_pathology;missing_age"),
+    ({"cerad_score": 5}, "cerad_out_of_range", "missing_age"),
+    ({"rin": 11.0}, "rin_out_of_range", "missing_age"),
+    ({"rin": 0.5}, "rin_out_of_range", "degraded_rna;missing_age"),
+    ({"pmi_hours": 500.0}, "pmi_out_of_range", "missing_age"),
+    ({"age_years": 200.0}, "age_out_of_range", ""),
+    ({"age_years": -1.0}, "age_out_of_range", "implausibly_young"),
+    ({"sample_id": None, "braak_stage": 9}, "braak_out_of_range;missing_sample_id", "missing_age"),
+    ({"braak_stage": 6, "cerad_score": 3, "rin": 10.0, "pmi_hours": 0.0, "age_years": 120.0}, "", ""),
+    ({"cerad_score": 0, "rin": 1.0, "pmi_hours": 120.0, "age_years": 0.0}, "", "degraded_rna;implausibly_young"),
+    ({"braak_stage": 0, "age_years": 80.0}, "", "ad_without_pathology"),
+    ({"braak_stage": 2, "age_years": 40.0, "rin": 5.0}, "", ""),
+    ({"diagnosis": "CONTROL", "braak_stage": 6, "age_years": 80.0}, "", "control_with_pathology"),
+    ({"diagnosis": "CONTROL", "braak_stage": 1, "age_years": 80.0}, "", ""),
+    ({"rin": 3.2, "age_years": 12.0}, "", "degraded_rna;implausibly_young"),
+    ({"rin": float("nan"), "pmi_hours": float("nan"), "age_years": float("nan")}, "", "missing_age"),
+]
+
+
+def test_every_case(spark):
+    report = validate(batch(spark, *(case[0] for case in CASES)).withColumn("batch", F.monotonically_increasing_id()))
+    got = sorted((r.sample_id or "", r.quarantine_reason, "") for r in report.quarantined.collect())
+    got += sorted((r.sample_id or "", "", r.quality_flags) for r in report.clean.collect())
+    ids = [case[0].get("sample_id", f"S{i}") or "" for i, case in enumerate(CASES)]
+    want = sorted((k, reason, "") for k, (_, reason, _) in zip(ids, CASES, strict=True) if reason)
+    want += sorted((k, "", flags) for k, (_, reason, flags) in zip(ids, CASES, strict=True) if not reason)
+    assert got == want
+
+    counts = {rule.name: 0 for rule in RULES}
+    for _, reason, flags in CASES:
+        for name in filter(None, f"{reason};{flags}".split(";")):
+            counts[name] += 1
+    assert report.rule_counts == counts
+    assert report.total == len(CASES)
+    assert report.pass_rate == sum(not reason for _, reason, _ in CASES) / len(CASES)
+    assert all(counts.values()), "a rule is never exercised"
+
+
+def test_tables_keep_their_columns(spark):
+    report = validate(batch(spark, {}))
+    assert report.clean.columns == [*CANONICAL_COLUMNS, "quality_flags"]
+    assert report.quarantined.columns == [*CANONICAL_COLUMNS, "quarantine_reason"]
+
+
+def test_report_text(spark):
+    report = validate(batch(spark, {"age_years": 80.0}, {"sample_id": None}))
+    assert report.summary() == (
+        "1/2 records passed (50.0%); 1 quarantined; rules triggered: {'missing_sample_id': 1, 'missing_age': 1}"
+    )
+    row = report.pass_rate_table().first()
+    assert tuple(row) == (2, 1, 1, 0.5)
+
+
+def test_empty_batch(spark):
+    report = validate(empty_canonical(spark))
+    assert report.total == 0 and report.pass_rate == 1.0
+    assert report.rule_counts == {rule.name: 0 for rule in RULES}
+    assert report.clean.count() == 0 and report.quarantined.columns[-1] == "quarantine_reason"
+    assert report.summary().endswith("rules triggered: none")
+
+
+def test_registry():
+    names = [rule.name for rule in RULES]
+    assert len(names) == len(set(names)) == 15
+    assert all(rule.description for rule in RULES)
+    assert sum(rule.severity is Severity.REJECT for rule in RULES) == 10
+
+
+def test_rule_subsets(spark):
+    frame = batch(spark, {"sample_id": None, "rin": 2.0}, {"braak_stage": 9})
+    flags_only = validate(frame, rules_named("degraded_rna"))
+    assert flags_only.quarantined.count() == 0
+    assert sorted(r.quality_flags for r in flags_only.clean.collect()) == ["", "degraded_rna"]
+    rejects_only = validate(frame, rules_named("braak_out_of_range"))
+    assert [r.quality_flags for r in rejects_only.clean.collect()] == [""]
+    assert rejects_only.rule_counts == {"braak_out_of_range": 1}
+    nothing = validate(frame, ())
+    assert nothing.clean.count() == 2 and nothing.rule_counts == {}
+
+
+def test_own_rule(spark):
+    rule = Rule("old", Severity.FLAG, "Over 85.", lambda frame: F.col("age_years") > 85)
+    report = validate(batch(spark, {"age_years": 88.0}, {}), (*RULES, rule))
+    assert sorted(r.quality_flags for r in report.clean.collect()) == ["missing_age", "old"]
+
+
+@pytest.mark.parametrize("absent", CANONICAL_COLUMNS)
+def test_absent_columns(spark, absent):
+    report = validate(batch(spark, {"age_years": 80.0}, {"age_years": 81.0}).drop(absent))
+    always = {
+        "sample_id": ["missing_sample_id"],
+        "source_study": ["missing_source_study"],
+        "diagnosis": ["diagnosis_not_recognized", "missing_diagnosis"],
+        "age_years": ["missing_age"],
+    }
+    assert {n: c for n, c in report.rule_counts.items() if c} == dict.fromkeys(always.get(absent, []), 2)
+
+
+def test_fixtures_pass(spark, raw):
+    report = validate(harmonize_many(spark, raw, MAPPINGS))
+    assert report.total == 9 and report.quarantined.count() == 0
+    flagged = report.clean.where(F.array_contains(F.split("quality_flags", ";"), "degraded_rna"))
+    assert [row.sample_id for row in flagged.collect()] == ["TCX_03"]
