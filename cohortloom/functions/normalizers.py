@@ -1,8 +1,8 @@
 """Field normalizers as column expressions, applied table-wide.
 
 Each normalizer has two steps. ``stage`` runs the costly text work once per cell; ``finish`` reads the staged columns
-several times (range tests, vocabulary branches) to give the value. :func:`stage_cells` puts the two steps in separate
-projections. Catalyst keeps them apart because the staged expressions are costly and used more than once, so a regex
+several times (range tests, vocabulary branches) to give the value. :func:`normalize_cells` puts the two steps in
+separate projections. Catalyst keeps them apart because the staged expressions are costly and used more than once, so a regex
 never gets copied into every branch.
 
 No normalizer raises: text that cannot be read gives NULL (or the vocabulary's own "unknown").
@@ -10,13 +10,14 @@ No normalizer raises: text that cannot be read gives NULL (or the vocabulary's o
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.text import ANY_SPACE, ascii_digits, cell, is_blank, normalize_text, single_spaced, strip
+from cohortloom.functions.fence import fence
+from cohortloom.functions.text import ANY_SPACE, ascii_digits, cell, is_blank_spaced, normalize_text, single_spaced, strip
 from cohortloom.schema import AGE_CAP
 
 # Accepted spellings of sex.
@@ -80,10 +81,16 @@ def _number(value: Column) -> Column:
     Needs no blank test and no removal of unit words: blank spellings hold no digit, and a unit word that stands alone
     has no digit beside it.
     """
-    digits = F.replace(ascii_digits(cell(value)), F.lit(","), F.lit("."))
+    digits = _replaced(ascii_digits(cell(value)), {",": "."})
     return F.regexp_substr(digits, F.lit(_NUMBER)).try_cast("double")
 
 
+def _replaced(text: Column, swaps: Mapping[str, str]) -> Column:
+    for old, new in swaps.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def _integer(text: Column) -> Column:
     return F.regexp_substr(text, F.lit("[0-9]+")).try_cast("bigint")
 
@@ -123,9 +130,10 @@ def _stage_diagnosis(value: Column) -> dict[str, Column]:
 
     One staged text serves both lookups: no whole-cell spelling starts with a qualifier and no phrase overlaps one.
     """
-    text = F.translate(single_spaced(F.lower(strip(cell(value)))), "'’", "")
+    spaced = F.lower(F.trim(single_spaced(cell(value))))
+    text = _replaced(spaced, {"'": "", "’": ""})
     bare = F.regexp_replace(text, f"^(?:{'|'.join(DIAGNOSIS_QUALIFIERS)}) +", "")
-    return {"text": F.when(~is_blank(value), bare)}
+    return {"text": F.when(~is_blank_spaced(cell(value), spaced), bare)}
 
 
 def _finish_diagnosis(staged: Mapping[str, Column]) -> dict[str, Column]:
@@ -159,10 +167,9 @@ def _finish_age(staged: Mapping[str, Column]) -> dict[str, Column]:
 
 def _stage_braak(value: Column) -> dict[str, Column]:
     """Text before the first range mark, so that an uncertain stage reads as its first bound."""
-    text = _without_words(value, BRAAK_WORDS)
-    text = F.replace(F.translate(text, "&/", "--"), F.lit("to"), F.lit("-"))
+    text = _replaced(_without_words(value, BRAAK_WORDS), {"&": "-", "/": "-", "to": "-"})
     text = F.btrim(single_spaced(text), F.lit(" .-"))
-    return {"stage": F.split(text, " *- *| +or +", 2).getItem(0)}
+    return {"stage": F.rtrim(F.substring_index(_replaced(text, {" or ": "-"}), "-", 1))}
 
 
 def _finish_braak(staged: Mapping[str, Column]) -> dict[str, Column]:
@@ -179,7 +186,7 @@ def _finish_cerad(staged: Mapping[str, Column]) -> dict[str, Column]:
 
 
 def _stage_apoe(value: Column) -> dict[str, Column]:
-    return {"alleles": F.regexp_replace(cell(value), "[^234]", "")}
+    return {"alleles": F.regexp_replace(cell(value), "[^234]+", "")}
 
 
 def _finish_apoe(staged: Mapping[str, Column]) -> dict[str, Column]:
@@ -230,22 +237,42 @@ def age_censored(value: Column) -> Column:
     return normalize_age.finish(normalize_age.stage(value))["censored"]
 
 
-def stage_cells(
-    frame: DataFrame, cells: Mapping[str, tuple[Column, str]], keep: list[Column] | None = None
+# Fields per projection: what fits one stretch of compiled code, see :func:`fence`.
+_FIELDS_AT_ONCE = 4
+
+
+def normalize_cells(
+    frame: DataFrame, cells: Mapping[str, tuple[str, str]], keep: Sequence[str] = ()
 ) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
-    """Stage ``{name: (raw column, kind)}`` over a table.
+    """Normalize ``{name: (raw column, kind)}`` over a table, a few fields per projection.
 
-    Gives the staged table, still carrying the ``keep`` columns, and per name the finished output columns to select
-    from it.
+    Each projection finishes the fields that the one before staged, and stages the next ones. Gives the table, still
+    carrying the ``keep`` columns, and the output columns to select from it by name and part.
     """
-    staged: list[Column] = []
-    finished: dict[str, dict[str, Column]] = {}
-    for position, (name, (raw, kind)) in enumerate(cells.items()):
-        normalizer = NORMALIZERS[kind]
-        parts = {part: (f"__{position}_{part}", expr) for part, expr in normalizer.stage(raw).items()}
-        staged += [expr.alias(alias) for alias, expr in parts.values()]
-        finished[name] = normalizer.finish({part: F.col(alias) for part, (alias, _) in parts.items()})
-    return frame.select(*(keep or []), *staged), finished
+    names = list(cells)
+    outputs: dict[str, dict[str, Column]] = {}
+    carried = [F.col(name) for name in keep]
+    pending: dict[str, Column] = {}
+    for at in range(0, len(names), _FIELDS_AT_ONCE):
+        group, later = names[at : at + _FIELDS_AT_ONCE], names[at + _FIELDS_AT_ONCE :]
+        staged: list[Column] = []
+        finishing: dict[str, Column] = {}
+        for name in group:
+            raw, kind = cells[name]
+            parts = NORMALIZERS[kind].stage(F.col(raw))
+            staged += [expr.alias(_part(name, part, "s")) for part, expr in parts.items()]
+            finished = NORMALIZERS[kind].finish({part: F.col(_part(name, part, "s")) for part in parts})
+            finishing |= {_part(name, part, "v"): expr.alias(_part(name, part, "v")) for part, expr in finished.items()}
+            outputs[name] = {part: F.col(_part(name, part, "v")) for part in finished}
+        raws = {cells[name][0] for name in later} - set(keep)
+        frame = fence(frame.select(*carried, *pending.values(), *(F.col(raw) for raw in sorted(raws)), *staged))
+        carried += [F.col(alias) for alias in pending]
+        pending = finishing
+    return frame.select(*carried, *pending.values()), outputs
+
+
+def _part(name: str, part: str, step: str) -> str:
+    return f"__{step}_{name}_{part}"
 
 
 def normalize_columns(kinds: Mapping[str, str]) -> Callable[[DataFrame], DataFrame]:
@@ -259,16 +286,13 @@ def normalize_columns(kinds: Mapping[str, str]) -> Callable[[DataFrame], DataFra
         if absent:
             raise KeyError(f"Columns not in the table: {absent}")
         plain = {name: f"_{i}" for i, name in enumerate(frame.columns)}
-        positional = frame.toDF(*plain.values())
-        keep = [F.col(alias) for name, alias in plain.items() if name not in kinds]
-        staged, finished = stage_cells(positional, {n: (F.col(plain[n]), k) for n, k in kinds.items()}, keep)
+        keep = [alias for name, alias in plain.items() if name not in kinds]
+        cells = {plain[name]: (plain[name], kind) for name, kind in kinds.items()}
+        table, finished = normalize_cells(frame.toDF(*plain.values()), cells, keep)
         output: list[Column] = []
         for name, alias in plain.items():
-            if name not in kinds:
-                output.append(F.col(alias).alias(name))
-                continue
-            for part, expr in finished[name].items():
-                output.append(expr.alias(name if part == "value" else f"{name}_{part}"))
-        return staged.select(*output)
+            parts = finished.get(alias, {"value": F.col(alias)})
+            output += [expr.alias(name if part == "value" else f"{name}_{part}") for part, expr in parts.items()]
+        return table.select(*output)
 
     return transform

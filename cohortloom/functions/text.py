@@ -14,10 +14,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-_OTHER_SPACES = "".join(f"\\x{{{ord(c):x}}}" for c in SPACES if c != " ")
-ANY_SPACE = f"[ {_OTHER_SPACES}]"
+# As a regex: Java's Unicode white space and the four separators that Python counts as well.
+ANY_SPACE = r"(?U:[\s\x1c-\x1f])"
 # A lone plain space is already what a run collapses to; leaving it unmatched makes long texts cheap.
-_SPACE_RUN = f"{ANY_SPACE}{{2,}}|[{_OTHER_SPACES}]"
+_SPACE_RUN = r"(?U)[\s\x1c-\x1f](?:[\s\x1c-\x1f]+|(?<! ))"
 
 # Spellings of "no value", compared after strip and lower.
 BLANK_TOKENS = (
@@ -75,7 +75,17 @@ def is_blank(value: Column) -> Column:
     return F.coalesce(hit, F.lit(True))
 
 
+def is_blank_spaced(value: Column, spaced: Column) -> Column:
+    """:func:`is_blank` where the trimmed, single-spaced text is at hand; NULL for NULL.
+
+    Spacing may only have turned into a blank spelling what was none (``not  reported``); then the cell does not hold
+    that spelling.
+    """
+    token = F.lower(spaced)
+    return (F.char_length(spaced) <= _LONGEST_BLANK) & token.isin(*BLANK_TOKENS) & F.contains(F.lower(value), token)
+
+
 def normalize_text(value: Column) -> Column:
     """Free text, trimmed and single-spaced; NULL when blank."""
-    text = cell(value)
-    return F.when(~is_blank(text), F.trim(single_spaced(text)))
+    spaced = F.trim(single_spaced(cell(value)))
+    return F.when(~is_blank_spaced(cell(value), spaced), spaced)

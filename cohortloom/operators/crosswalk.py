@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.functions.normalizers import stage_cells
+from cohortloom.functions.normalizers import normalize_cells
 from cohortloom.schema import CANONICAL_SCHEMA
 
 # Which normalizer reads which canonical field; the rest is free text.
@@ -119,14 +119,14 @@ def harmonize(frame: DataFrame, mapping: SourceMapping) -> DataFrame:
     for name in CANONICAL_SCHEMA.names:
         source = mapping.field_map.get(name)
         if name not in _DERIVED and name not in mapping.constants and source in positions:
-            cells[name] = (F.col(f"_{positions[source]}"), FIELD_KINDS.get(name, "text"))
-    staged, finished = stage_cells(positional, cells)
+            cells[name] = (f"_{positions[source]}", FIELD_KINDS.get(name, "text"))
+    table, finished = normalize_cells(positional, cells)
 
     outputs = {name: parts["value"] for name, parts in finished.items()}
     outputs |= {name: F.lit(value) for name, value in mapping.constants.items() if name not in _DERIVED}
     outputs["source_study"] = F.lit(mapping.study_id)
     outputs["age_censored"] = finished.get("age_years", {}).get("censored", F.lit(False))
-    return staged.select(
+    return table.select(
         *(outputs.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CANONICAL_SCHEMA.fields)
     )
 
