@@ -131,3 +131,19 @@ def test_counts_come_from_the_write(lake, spark):
     reasons = rejected.select(F.explode(F.split("quarantine_reason", ";")).alias("r")).groupBy("r").count()
     for row in reasons.collect():
         assert manifest.rule_counts[row.r] == row["count"]
+
+
+def test_job(lake, capsys):
+    from cohortloom.__main__ import main
+
+    root = lake.template.removesuffix("/{layer}")
+    good = ["--root", root, "--study", f"GSE5281={FILES['GSE5281']}", "--run-id", "job"]
+    assert main(good) == 0
+    assert json.loads(capsys.readouterr().out)["run_id"] == "job"
+    bronze(lake, "dupes.csv", **duplicates())
+    bad = ["--root", root, "--study", "GSE33000=dupes.csv", "--one-line", "GSE33000"]
+    assert main(bad) == 1
+    assert main([*bad, "--min-pass-rate", "0.3"]) == 0
+    for wrong in (["--root", root, "--study", "no-path"], ["--root", root, "--account-url", "x", "--study", "A=b"]):
+        with pytest.raises(SystemExit):
+            main(wrong)
