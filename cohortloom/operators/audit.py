@@ -10,7 +10,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.operators.crosswalk import SourceMapping
@@ -89,9 +89,7 @@ def audit_deliveries(delivered: DataFrame, expected: DataFrame) -> DataFrame:
         names(wanted & ~came).alias("missing"),
         names(came & ~wanted).alias("unmapped"),
     )
-    listed = F.concat(
-        F.lit("["), F.array_join(F.transform("missing", lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", "), F.lit("]")
-    )
+    listed = F.concat(F.lit("["), F.array_join(F.transform("missing", _quoted), ", "), F.lit("]"))
     summary = F.format_string(
         "%s: %d mapped, %d missing %s, %d source columns unused",
         "study_id",
@@ -103,6 +101,13 @@ def audit_deliveries(delivered: DataFrame, expected: DataFrame) -> DataFrame:
     return audit.withColumn("is_complete", F.size("missing") == 0).withColumn("summary", summary)
 
 
+def _quoted(name: Column) -> Column:
+    """A name as Python shows it in a list."""
+    double = name.contains("'") & ~name.contains('"')
+    single = F.replace(F.replace(name, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
+    return F.when(double, F.concat(F.lit('"'), name, F.lit('"'))).otherwise(F.concat(F.lit("'"), single, F.lit("'")))
+
+
 def uncovered_studies(sources: DataFrame, mappings: DataFrame) -> DataFrame:
     """Studies delivered in ``sources(study_id)`` that ``mappings(study_id)`` does not know.
 

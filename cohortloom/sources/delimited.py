@@ -108,7 +108,8 @@ def _stays_open(line: Column) -> Column:
 
 
 def _has_open_lines(spark: SparkSession, path: str) -> bool:
-    return not spark.read.text(path).where(_ends_open(F.col("value"))).isEmpty()
+    line = F.col("value")
+    return not spark.read.text(path).where(line.contains('"') & _ends_open(line)).isEmpty()
 
 
 def _state_before(ordered: WindowSpec, start: bool) -> Column:

@@ -94,10 +94,12 @@ def test_audit(raw):
 
 def test_catalogue_audit_agrees_with_the_single_one(spark, raw):
     raw["GSE33000"] = raw["GSE33000"].withColumnRenamed("pmi", "post mortem").withColumnRenamed("dx", "DX")
-    audits = audit_deliveries(delivered_columns(raw), expected_columns(spark, MAPPINGS.values())).collect()
-    assert len(audits) == 3
+    mappings = MAPPINGS | {"Q": SourceMapping("Q", {"sex": "donor's sex", "rin": "r\"i'n", "batch": 'b"'})}
+    raw["Q"] = raw["GSE5281"]
+    audits = audit_deliveries(delivered_columns(raw), expected_columns(spark, mappings.values())).collect()
+    assert len(audits) == 4
     for row in audits:
-        single = audit_mapping(raw[row.study_id], MAPPINGS[row.study_id])
+        single = audit_mapping(raw[row.study_id], mappings[row.study_id])
         assert (tuple(row.matched), tuple(row.missing), tuple(row.unmapped), row.is_complete, row.summary) == (
             single.matched,
             single.missing,
