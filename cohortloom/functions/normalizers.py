@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.fence import fence
-from cohortloom.functions.text import ANY_SPACE, ascii_digits, cell, is_blank_spaced, normalize_text, single_spaced, strip
+from cohortloom.functions.text import ANY_SPACE, ascii_digits, cell, is_blank_spaced, lookup, normalize_text, one_of, single_spaced, strip
 from cohortloom.schema import AGE_CAP
 
 # Accepted spellings of sex.
@@ -102,14 +102,7 @@ def _without_words(value: Column, words: str) -> Column:
 
 
 def _coded(text: Column, codes: Mapping[str, int]) -> Column:
-    by_code: dict[int, list[str]] = {}
-    for label, code in codes.items():
-        by_code.setdefault(code, []).append(label)
-    branches = None
-    for code, labels in by_code.items():
-        hit = text.isin(*labels)
-        branches = F.when(hit, F.lit(code)) if branches is None else branches.when(hit, F.lit(code))
-    return branches.otherwise(_integer(text)).cast("bigint")
+    return F.coalesce(lookup(text, codes).cast("bigint"), _integer(text))
 
 
 # --- stage / finish pairs ------------------------------------------------------------------------------------------
@@ -121,7 +114,7 @@ def _stage_sex(value: Column) -> dict[str, Column]:
 
 def _finish_sex(staged: Mapping[str, Column]) -> dict[str, Column]:
     token = staged["token"]
-    sex = F.when(token.isin(*MALE_TOKENS), "M").when(token.isin(*FEMALE_TOKENS), "F").otherwise("unknown")
+    sex = F.when(one_of(token, MALE_TOKENS), "M").when(one_of(token, FEMALE_TOKENS), "F").otherwise("unknown")
     return {"value": sex}
 
 
@@ -138,9 +131,8 @@ def _stage_diagnosis(value: Column) -> dict[str, Column]:
 
 def _finish_diagnosis(staged: Mapping[str, Column]) -> dict[str, Column]:
     text = staged["text"]
-    diagnosis = F.when(text.isNull(), "UNKNOWN")
-    for label, tokens in DIAGNOSIS_TOKENS.items():
-        diagnosis = diagnosis.when(text.isin(*tokens), label)
+    whole = lookup(text, {token: label for label, tokens in DIAGNOSIS_TOKENS.items() for token in tokens})
+    diagnosis = F.when(text.isNull(), "UNKNOWN").when(whole.isNotNull(), whole)
     for label, phrases in DIAGNOSIS_PHRASES:
         if label != "OTHER":  # what the last branch gives anyway
             diagnosis = diagnosis.when(_any([text.contains(phrase) for phrase in phrases]), label)

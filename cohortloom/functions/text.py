@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterable, Mapping
 from functools import cache
 
 from pyspark.sql import Column
@@ -47,6 +48,21 @@ def _foreign_digits() -> tuple[str, str]:
     return "".join(digits), "".join(str(unicodedata.decimal(d)) for d in digits)
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def one_of(text: Column, words: Iterable[str]) -> Column:
+    """Whether the text is one of a few words. Spelled as one SQL array: a Python literal per word is slow to build."""
+    return F.array_contains(F.expr(f"array({', '.join(map(_literal, words))})"), text)
+
+
+def lookup(text: Column, codes: Mapping[str, str | int]) -> Column:
+    """The code of a word, NULL for other text."""
+    pairs = (f"{_literal(word)}, {_literal(code) if isinstance(code, str) else code}" for word, code in codes.items())
+    return F.expr(f"map({', '.join(pairs)})")[text]
+
+
 def cell(value: Column) -> Column:
     """Any column as the text of its cells."""
     return value.cast("string")
@@ -71,7 +87,7 @@ def is_blank(value: Column) -> Column:
     """True for NULL and for the spellings of "no value"; never NULL."""
     text = strip(cell(value))
     # The length test keeps long texts from being lower-cased only to miss a 14-character list.
-    hit = (F.char_length(text) <= _LONGEST_BLANK) & F.lower(text).isin(*BLANK_TOKENS)
+    hit = (F.char_length(text) <= _LONGEST_BLANK) & one_of(F.lower(text), BLANK_TOKENS)
     return F.coalesce(hit, F.lit(True))
 
 
@@ -82,7 +98,7 @@ def is_blank_spaced(value: Column, spaced: Column) -> Column:
     that spelling.
     """
     token = F.lower(spaced)
-    return (F.char_length(spaced) <= _LONGEST_BLANK) & token.isin(*BLANK_TOKENS) & F.contains(F.lower(value), token)
+    return (F.char_length(spaced) <= _LONGEST_BLANK) & one_of(token, BLANK_TOKENS) & F.contains(F.lower(value), token)
 
 
 def normalize_text(value: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.functions.text import strip
+from cohortloom.functions.text import one_of, strip
 from cohortloom.operators.duplicates import mark_duplicates
 from cohortloom.schema import BOUNDS, DEGRADED_RIN, DIAGNOSES, REQUIRED_COLUMNS, YOUNG_AGE
 
@@ -115,7 +115,7 @@ RULES: tuple[Rule, ...] = (
         "diagnosis_not_recognized",
         Severity.REJECT,
         "diagnosis is not a word of the vocabulary.",
-        _when_present(("diagnosis",), lambda diagnosis: ~diagnosis.isin(*DIAGNOSES), absent=True),
+        _when_present(("diagnosis",), lambda diagnosis: ~one_of(diagnosis, DIAGNOSES), absent=True),
     ),
     _range_rule("age_out_of_range", "age_years"),
     _range_rule("braak_out_of_range", "braak_stage"),

@@ -7,7 +7,6 @@ the vocabulary sizes, so each spelling occurs. The same definitions, as text, fe
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Per cohort the source table, the key, and each raw column as a SQL expression or a vocabulary with the
 # factor of the key that picks from it.
@@ -103,18 +102,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(factor: int, vocabulary: list[str | None]):
-    position = F.pmod(F.col("k") * factor, F.lit(len(vocabulary))) + 1
-    return F.element_at(F.array(*(F.lit(word).cast("string") for word in vocabulary)), position.cast("int"))
+def _pick(factor: int, vocabulary: list[str | None]) -> str:
+    words = ", ".join("NULL" if word is None else '"' + word + '"' for word in vocabulary)
+    return f"element_at(array({words}), cast(pmod(k * {factor}, {len(vocabulary)}) + 1 AS int))"
 
 
 def cohort(spark: SparkSession, sf_dir: str, study: str) -> DataFrame:
     """One raw cohort: all-string columns in the study's own layout, a row per row of its source table."""
     source, key, columns = COHORTS[study]
-    keyed = table(spark, sf_dir, source).withColumn("k", F.col(key))
-    return keyed.select(
-        *((F.expr(spec) if isinstance(spec, str) else _pick(*spec)).alias(name) for name, spec in columns.items())
-    )
+    cells = (f"{spec if isinstance(spec, str) else _pick(*spec)} AS `{name}`" for name, spec in columns.items())
+    return table(spark, sf_dir, source).selectExpr("*", f"{key} AS k").selectExpr(*cells)
 
 
 def cohorts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -123,8 +120,6 @@ def cohorts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical columns holding values that only outside data would have."""
-    keyed = table(spark, sf_dir, "lineitem").withColumn("k", F.expr(OUTLIER_KEY))
-    return keyed.select(
-        F.expr(OUTLIER_ID).alias("sample_id"),
-        *(_pick(factor, words).cast(dtype).alias(name) for name, (dtype, factor, words) in OUTLIERS.items()),
-    )
+    cells = (f"cast({_pick(factor, words)} AS {dtype}) AS {name}" for name, (dtype, factor, words) in OUTLIERS.items())
+    keyed = table(spark, sf_dir, "lineitem").selectExpr("*", f"{OUTLIER_KEY} AS k")
+    return keyed.selectExpr(f"{OUTLIER_ID} AS sample_id", *cells)

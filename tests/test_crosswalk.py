@@ -122,8 +122,17 @@ def test_plan_is_a_narrow_projection_without_python(raw):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_unused_columns_are_not_read(spark, tmp_path):
+    as_frame(spark, RAW["GSE125583"]).write.parquet(str(tmp_path / "c"))
+    out = harmonize(spark.read.parquet(str(tmp_path / "c")), get_mapping("GSE125583")).select("sex", "source_study")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<Sex:string>" in plan
+
+
 def test_regexes_are_not_copied_into_branches(spark, tmp_path):
     as_frame(spark, RAW["GSE125583"]).write.parquet(str(tmp_path / "c"))
     out = harmonize(spark.read.parquet(str(tmp_path / "c")), get_mapping("GSE125583"))
+    # A filter on normalized columns must not be rewritten to the raw ones either.
+    out = out.where("diagnosis = 'AD' AND cerad_score > 1")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("suspected") == 1 and plan.count("neuritic") == 1
