@@ -2,8 +2,7 @@
 
 Each normalizer has two steps. ``stage`` runs the costly text work once per cell; ``finish`` reads the staged columns
 several times (range tests, vocabulary branches) to give the value. :func:`normalize_cells` puts the two steps in
-separate projections. Catalyst keeps them apart because the staged expressions are costly and used more than once, so a regex
-never gets copied into every branch.
+separate projections with a fence between them, so a regex never gets copied into every branch.
 
 No normalizer raises: text that cannot be read gives NULL (or the vocabulary's own "unknown").
 """
@@ -17,7 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.fence import fence
-from cohortloom.functions.text import ANY_SPACE, ascii_digits, cell, is_blank_spaced, lookup, normalize_text, one_of, single_spaced, strip
+from cohortloom.functions.text import (
+    ANY_SPACE,
+    ascii_digits,
+    cell,
+    is_blank_spaced,
+    lookup,
+    normalize_text,
+    one_of,
+    single_spaced,
+    strip,
+)
 from cohortloom.schema import AGE_CAP
 
 # Accepted spellings of sex.

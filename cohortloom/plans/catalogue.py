@@ -149,8 +149,8 @@ def _cohort_query(study: str) -> Query:
 
 
 def harmonize_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    renamed = cohort(spark, sf_dir, "GSE5281").withColumnsRenamed({"age": "age_yrs", "sex": "gender", "disease_state": "dx"})
-    return harmonize(renamed, get_mapping("GSE5281"))
+    renamed = {"age": "age_yrs", "sex": "gender", "disease_state": "dx"}
+    return harmonize(cohort(spark, sf_dir, "GSE5281").withColumnsRenamed(renamed), get_mapping("GSE5281"))
 
 
 def harmonized_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +249,8 @@ def has_flag(name: str) -> Column:
 
 
 def flagged_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(spark, sf_dir).where(has_flag("degraded_rna")).select("sample_id", "source_study", "rin", "quality_flags")
+    degraded = silver(spark, sf_dir).where(has_flag("degraded_rna"))
+    return degraded.select("sample_id", "source_study", "rin", "quality_flags")
 
 
 def distinct_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:

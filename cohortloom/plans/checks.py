@@ -381,7 +381,9 @@ def sql() -> dict[str, str]:
     return {
         "flagship_summary": _flagship_sql(),
         "bronze_scan": _bronze_sql(),
-        "bronze_scan_multiline": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang FROM documents",
+        "bronze_scan_multiline": (
+            "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang FROM documents"
+        ),
         "layer_inventory": " UNION ALL ".join(f"SELECT '{name}' AS delivery" for name in FILES.values()),
         "is_blank_profile": _blank_sql(),
         "normalize_text": f"SELECT doc_id, {normalize_text('text')} AS text FROM documents",

@@ -17,7 +17,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry  # noqa: E402
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
 )
 
 
@@ -52,7 +53,8 @@ def compare(spark, con, name: str, sf_dir: str) -> str | None:
             return f"type of {field.name}: {types[field.name]} != {field.dataType.simpleString()}"
     want, got = multiset(columns, result.fetchall()), multiset(frame.columns, frame.collect())
     if want != got:
-        return f"{sum(want.values())} != {sum(got.values())} rows; only SQL {list((want - got).items())[:3]}; only Spark {list((got - want).items())[:3]}"
+        only_sql, only_spark = list((want - got).items())[:3], list((got - want).items())[:3]
+        return f"{sum(want.values())} and {sum(got.values())} rows; only SQL {only_sql}; only Spark {only_spark}"
     return None
 
 

@@ -77,7 +77,8 @@ def test_constants_win_and_stamps_cannot_be_mapped(raw):
 
 
 def test_names_spark_would_confuse(spark):
-    frame = spark.createDataFrame([("a", "f", "m", "40", "s")], "`x.id` string, Sex string, sex string, age string, p string")
+    schema = "`x.id` string, Sex string, sex string, age string, p string"
+    frame = spark.createDataFrame([("a", "f", "m", "40", "s")], schema)
     mapping = SourceMapping("X", {"sample_id": "x.id", "sex": "sex", "subject_id": "p", "batch": "p", "rin": "AGE"})
     row = harmonize(frame, mapping).first()
     assert (row.sample_id, row.sex, row.subject_id, row.batch, row.rin) == ("a", "M", "s", "s", None)

@@ -23,7 +23,8 @@ def read(spark, path, **options):
 
 
 def test_everything_stays_text(spark, tmp_path):
-    path = write(tmp_path / "a.csv", [["id", "apoe", "x"], ["0012", "33", "NA"], ["1", "", "null"], ["1e3", " a ", 'q"q,']])
+    cells_in = [["0012", "33", "NA"], ["1", "", "null"], ["1e3", " a ", 'q"q,']]
+    path = write(tmp_path / "a.csv", [["id", "apoe", "x"], *cells_in])
     columns, rows = read(spark, path)
     assert columns == ["id", "apoe", "x"]
     assert rows == [("0012", "33", "NA"), ("1", "", "null"), ("1e3", " a ", 'q"q,')]
