@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, quality_rules
+from cohortloom.llm import bpe, line_dedup, mixing, quality_rules, simhash
+from cohortloom.llm.frames import staged
 
 MULTILINGUAL = bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 ENGLISH = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
@@ -21,6 +22,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    rows = mixing.sized(docs).select(F.struct("__row.doc_id").alias("__row"), "key", "size", "u", "class")
+    rows = staged(rows, "mix-sizes")
+    taken = mixing.with_copies(rows, mixing.plan(rows))
+    return taken.select(
+        "__row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.decode(bpe.encode(docs, MULTILINGUAL), MULTILINGUAL)).select(
@@ -28,13 +39,29 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.dedup_lines(docs)
+    return found.select("__row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judged(docs).select("__row.doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pareto_mix": op1_pareto_mix,
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_simhash": op6_simhash,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
