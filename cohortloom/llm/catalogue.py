@@ -11,12 +11,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, line_dedup, mixing, quality_rules, simhash
+from cohortloom.llm import (
+    bpe,
+    chat,
+    line_dedup,
+    mixing,
+    ordinal,
+    prefix_forest,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+)
 from cohortloom.llm.frames import staged
 
 MULTILINGUAL = bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 ENGLISH = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
+TOXIC_FROM = 0.3
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -32,6 +45,18 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = r"\### Assistant: </turn> ok"
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(text).alias("text"),
+    )
+    return chat.read_back(chat.format_chats(turns.unionByName(planted)))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.decode(bpe.encode(docs, MULTILINGUAL), MULTILINGUAL)).select(
@@ -39,6 +64,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_forest.usable(read(spark, sf_dir, "embeddings"))
+    return prefix_forest.search(rows, rows.where("vec_id % 20 = 0"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.read_documents(token_files.write_token_files(docs, ENGLISH))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
@@ -46,6 +81,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return ordinal.score(docs, ordinal.train(docs, read(spark, sf_dir, "labels")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = line_dedup.dedup_lines(docs)
@@ -59,8 +105,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op2_chat_format": op2_chat_format,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_prefix_forest": op4_prefix_forest,
+    "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
+    "op7_ordinal_quality": op7_ordinal_quality,
+    "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, quality_rules
+from cohortloom.llm import bpe, line_dedup, mixing, quality_rules, simhash
 from cohortloom.llm.catalogue import MULTILINGUAL
 from cohortloom.llm.frames import staged
 
@@ -14,6 +15,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds go; ``n_chars`` is the length of what stays."""
+    found = line_dedup.dedup_lines(docs)
+    fresh = {"text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[fresh.get(name, F.col("__row").getField(name)).alias(name) for name in docs.columns])
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies stays, the one with the smallest id."""
+    return simhash.one_of_each(docs, shingle=4, max_bits=4)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources by weight: documents are left out or repeated."""
+    sizes = mixing.sized(docs).select("key", "size", "u", "class")
+    return mixing.mixed(docs, mixing.plan(staged(sizes, "mix-sizes")))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document's text, as digests that the decoded ids must give again."""
     texts = docs.select("doc_id", "text")
@@ -22,6 +41,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
+    ("line dedup", lines),
+    ("SimHash near-dedup", near_copies),
+    ("source mix", mix),
     ("byte-level BPE", tokens),
 ]
 
