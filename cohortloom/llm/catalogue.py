@@ -23,6 +23,7 @@ from cohortloom.llm import (
     token_files,
     toxicity,
 )
+from cohortloom.llm.checks import ORACLE_SQL
 from cohortloom.llm.frames import staged
 
 MULTILINGUAL = bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -116,4 +117,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -1,0 +1,86 @@
+"""Both classifiers: accuracy on labels they never saw, and the odd cases."""
+
+from __future__ import annotations
+
+import binascii
+
+import llm_cases as cases
+import numpy as np
+import pytest
+
+from cohortloom.llm import ordinal, toxicity
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return [spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels")]
+
+
+def area(scores: np.ndarray, labels: np.ndarray) -> float:
+    """Under the curve of hits against false alarms."""
+    above = scores[labels == 1][:, None] - scores[labels == 0][None, :]
+    return float((above > 0).mean() + (above == 0).mean() / 2)
+
+
+def test_toxicity_on_held_out_labels(tables):
+    docs, labels = tables
+    weights = toxicity.train(docs, labels)
+    assert 0 < len(weights.places) < 200_000
+    scored = toxicity.score(docs, weights).join(labels, "doc_id").where("held_out").toPandas()
+    assert all(binascii.crc32(str(i).encode()) % 4 == 2 for i in scored.doc_id)
+    assert area(scored.score.to_numpy(), scored.toxic.to_numpy()) > 0.9
+    flagged = scored.score >= 0.3
+    assert scored.toxic[flagged].mean() > 0.8 and flagged[scored.toxic == 1].mean() > 0.7
+
+
+def test_quality_on_held_out_labels(tables):
+    docs, labels = tables
+    scored = ordinal.score(docs, ordinal.train(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
+    assert (scored.kept == (scored.quality == 1)).mean() > 0.97
+    grade = np.where(scored.quality == 0, 0, np.where(scored.toxic == 1, 1, 2))
+    assert scored.expected_grade[grade == 0].mean() < scored.expected_grade[grade == 1].mean()
+    assert scored.expected_grade[grade == 1].mean() < scored.expected_grade[grade == 2].mean()
+
+
+def test_thresholds_stay_ordered_and_scores_follow():
+    rng = np.random.default_rng(0)
+    rows = []
+    for _ in range(3000):
+        grade = int(rng.integers(0, 3))
+        places = np.unique(np.append(rng.integers(3, 200, 8), grade))
+        rows.append((places, np.full(len(places), 0.5, "float32"), grade))
+    model = ordinal.fit(rows, ordinal.Settings(bits=8))
+    assert (np.diff(model.thresholds) > 0).all()
+    above = model.above(np.array([model.weights[p].astype("float64") @ v for p, v, _ in rows]))
+    grades = np.array([g for *_, g in rows])
+    assert ((above > 0.5).sum(axis=1) == grades).mean() > 0.9
+    assert (above[:, 0] >= above[:, 1]).all()
+
+
+def test_ftrl_finds_the_one_word_that_matters():
+    rng = np.random.default_rng(0)
+    model = toxicity.Ftrl(toxicity.Settings(bits=10))
+    for _ in range(4000):
+        places = np.unique(rng.integers(1, 1024, 30))
+        label = int(rng.random() < 0.2)
+        model.learn(np.append(places, 0) if label else places, label)
+    result = model.result()
+    assert result.places[np.argmax(result.values)] == 0 and len(result.places) < 700
+
+
+@pytest.mark.parametrize("labelled", [[], [(1, None, None)], [(1, 1, 0), (2, 1, 0)], [(None, 1, 1), (3, 0, 1), (9, 1, 0)]])
+def test_cases(spark, labelled):
+    docs = cases.with_clashes(spark)
+    labels = spark.createDataFrame(labelled, "doc_id long, quality int, toxic int")
+    toxic = toxicity.score(docs, toxicity.train(docs, labels)).collect()
+    good = ordinal.score(docs, ordinal.train(docs, labels)).collect()
+    assert len(toxic) == len(good) == len(cases.TEXTS)
+    assert all(0 <= r.score <= 1 for r in toxic) and all(0 <= r.tail_probability <= 1 for r in good)
+    blank = [r.score for r in toxic if r.doc_id in (4, 5, 6)]
+    assert len(set(blank)) == 1
+    if not any(q is not None and i is not None for i, q, _ in labelled):
+        assert all(r.kept for r in good)
+    assert toxicity.score(cases.empty(spark), toxicity.train(cases.empty(spark), labels)).count() == 0
+    assert ordinal.score(cases.empty(spark), ordinal.train(cases.empty(spark), labels)).count() == 0

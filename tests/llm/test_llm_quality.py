@@ -1,0 +1,55 @@
+"""Quality rules against counts made one word at a time."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import llm_cases as cases
+
+from cohortloom.llm import quality_rules
+
+
+def counts(text: str | None) -> tuple:
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    seen = Counter(windows)
+    repeated = {p for k, w in enumerate(windows) if seen[w] > 1 for p in range(k, k + 5)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    symbols = sum(text.count(mark) for mark in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated)
+
+
+def test_counts_and_base_rules(spark):
+    got = quality_rules.judged(cases.with_clashes(spark)).select("__row.text", *quality_rules.COUNTS, "base_failed")
+    rows = got.collect()
+    assert len(rows) == len(cases.TEXTS)
+    for row in rows:
+        want = counts(row.text)
+        assert tuple(row)[1:6] == want
+        assert row.base_failed == (want[0] < 10 or 100 * want[4] > 20 * want[0])
+
+
+def test_repeats_overlap_and_touch(spark):
+    texts = ["a a a a a a", "a b c d e x a b c d e", "a b c d e f a b c d e f g", "p q r s p q r s p q r s p", "a b c d e a b c d"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.text: r.n for r in quality_rules.judged(frame).selectExpr("__row.text", "n_repeat_words n").collect()}
+    assert got == {t: counts(t)[4] for t in texts}
+
+
+def test_clean_stays_and_noise_goes(spark):
+    clean = "It was in the middle of the night that the rain began to fall on the roof of the old house. " * 1
+    noise = ["word*** that&&& is$$$ full### of%%% the*** marks&&& and$$$ no### more%%% than*** that", "HI!! " * 60, "a b c"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate([clean, *noise])], "doc_id long, text string")
+    kept = quality_rules.keep_good(frame)
+    assert kept.columns == ["doc_id", "text"] and [r.doc_id for r in kept.collect()] == [0]
+
+
+def test_no_python_in_the_plan(spark):
+    plan = quality_rules.judged(cases.docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_empty(spark):
+    assert quality_rules.judged(cases.empty(spark)).count() == 0
