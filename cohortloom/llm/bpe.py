@@ -21,15 +21,18 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortloom.llm.frames import named, unpacked
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers  # noqa: E402
@@ -168,72 +171,88 @@ def codec(vocabulary: Vocabulary) -> Codec:
     return Codec(tokenizer, vocabulary.pattern)
 
 
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+_LISTS = T.ArrayType(T.IntegerType(), False)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", offsets: bool = False) -> DataFrame:
     """All columns but ``text``, which gives way to ``ids`` and, if asked for, ``starts`` and ``ends`` in characters.
 
     A column of one of these names is replaced.
     """
-    added = ["ids", "starts", "ends"] if offsets else ["ids"]
-    kept = [f for f in docs.schema.fields if f.name != text and f.name not in added]
-    schema = T.StructType(kept + [T.StructField(name, T.ArrayType(T.IntegerType(), False), False) for name in added])
-    names = [f.name for f in kept]
+    made = {name: _LISTS for name in (["ids", "starts", "ends"] if offsets else ["ids"])}
+    return _mapped(docs, text, _encoding(vocabulary, offsets), made)
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Beside all given columns, ``raw``: the bytes that ``ids`` stand for."""
+    return _mapped(encoded, "ids", _decoding(vocabulary), {"ids": encoded.schema["ids"].dataType, "raw": T.BinaryType()})
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+    """Encode, decode and digest: the other columns, ``n_tokens`` and digests of the ids and of the decoded bytes.
+
+    The ids are hashed as little-endian unsigned 32-bit integers. The steps are those of ``encode`` and ``decode``, batch
+    by batch in one Python worker instead of a worker for each.
+    """
+    encoding, decoding = _encoding(vocabulary, False), _decoding(vocabulary)
+    made = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
+    return _mapped(docs, text, lambda batches: _digested(decoding(encoding(batches))), made)
+
+
+def _mapped(frame: DataFrame, value: str, step: Step, made: dict[str, T.DataType]) -> DataFrame:
+    """Apply a step from ``(__row, value)`` to ``(__row, *made)``; ``__row`` holds all columns that stay as they are."""
+    others = [name for name in frame.columns if name != value and name not in made]
+    row = F.struct(F.lit(True).alias("__any"), *[named(name) for name in others]).alias("__row")
+    packed = frame.select(row, named(value).alias("value"))
+    fields = [packed.schema["__row"], *(T.StructField(name, kind) for name, kind in made.items())]
+    return packed.mapInArrow(step, T.StructType(fields)).select(*unpacked(others), *made)
+
+
+def _encoding(vocabulary: Vocabulary, offsets: bool) -> Step:
+    names = ["__row", "ids", "starts", "ends"] if offsets else ["__row", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, SLICE):
-                part = batch.slice(begin, SLICE)
-                texts = [x or "" for x in part.column(text).to_pylist()]
-                found = [np.frombuffer(b, "<u4").astype("int32") for b in own.encode_all(texts)]
-                columns = [_lists(found)]
-                if offsets:
-                    spans = [own.offsets(t, ids) for t, ids in zip(texts, found, strict=True)]
-                    columns += [_lists([s for s, _ in spans]), _lists([e for _, e in spans])]
-                yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + columns, names=names + added)
-
-    return docs.mapInArrow(run, schema)
+        for part in _slices(batches):
+            texts = [x or "" for x in part.column("value").to_pylist()]
+            found = [np.frombuffer(b, "<u4").astype("int32") for b in own.encode_all(texts)]
+            columns = [_lists(found)]
+            if offsets:
+                spans = [own.offsets(t, ids) for t, ids in zip(texts, found, strict=True)]
+                columns += [_lists([s for s, _ in spans]), _lists([e for _, e in spans])]
+            yield pa.RecordBatch.from_arrays([part.column("__row"), *columns], names=names)
 
+    return run
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Beside all given columns, ``raw``: the bytes that ``ids`` stand for."""
-    kept = [f for f in encoded.schema.fields if f.name != "raw"]
-    schema = T.StructType([*kept, T.StructField("raw", T.BinaryType(), False)])
-    names = [f.name for f in kept]
 
+def _decoding(vocabulary: Vocabulary) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, SLICE):
-                part = batch.slice(begin, SLICE)
-                raw = [own.decode(_numbers(x)) for x in part.column("ids")]
-                columns = [part.column(n) for n in names] + [pa.array(raw, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "raw"])
+        for part in _slices(batches):
+            ids = part.column(1)
+            raw = pa.array([own.decode(_numbers(x)) for x in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("__row"), ids, raw], names=["__row", "ids", "raw"])
 
-    return encoded.mapInArrow(run, schema)
+    return run
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Of a frame with ``ids`` and ``raw``: the other columns, ``n_tokens`` and digests of both.
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = [_numbers(x).astype("<u4") for x in batch.column("ids")]
+        columns = [
+            pa.array([len(x) for x in ids], pa.int64()),
+            pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()),
+            pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in batch.column("raw")], pa.string()),
+        ]
+        names = ["__row", "n_tokens", "ids_sha256", "decoded_sha256"]
+        yield pa.RecordBatch.from_arrays([batch.column("__row"), *columns], names=names)
 
-    The ids are hashed as little-endian unsigned 32-bit integers.
-    """
-    added = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
-    kept = [f for f in decoded.schema.fields if f.name not in {"ids", "raw", *(name for name, _ in added)}]
-    schema = T.StructType(kept + [T.StructField(name, kind, False) for name, kind in added])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [_numbers(x).astype("<u4") for x in batch.column("ids")]
-            columns = [
-                pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()),
-                pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in batch.column("raw")], pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in kept] + columns, names=[f.name for f in schema.fields]
-            )
-
-    return decoded.mapInArrow(run, schema)
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, SLICE):
+            yield batch.slice(begin, SLICE)
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:

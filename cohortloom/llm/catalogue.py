@@ -60,9 +60,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, MULTILINGUAL), MULTILINGUAL)).select(
-        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
-    )
+    return bpe.round_trip(docs, MULTILINGUAL)
 
 
 def op4_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

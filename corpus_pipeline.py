@@ -35,8 +35,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document's text, as digests that the decoded ids must give again."""
-    texts = docs.select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(texts, MULTILINGUAL), MULTILINGUAL))
+    return bpe.round_trip(docs.select("doc_id", "text"), MULTILINGUAL)
 
 
 STAGES = [
