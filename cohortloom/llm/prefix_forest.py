@@ -37,13 +37,16 @@ SCHEMA = "query_id long, vec_id long, score double"
 
 @dataclass(frozen=True)
 class Settings:
-    """``candidates``: rows in the runs of all trees, as a share of the block's distinct vectors, at which ascent ends."""
+    """``candidates``: rows in the runs of all trees, as a share of the block's distinct vectors, at which ascent ends.
+
+    Ascent goes on below ``least`` rows, the same vector counting once for each tree.
+    """
 
     k: int = 20
     trees: int = 128
     bits: int = 24
     candidates: float = 0.5
-    least: int = 400
+    least: int = 4096
     block_rows: int = 8192
     query_rows: int = 16384
     seed: int = 7
@@ -121,7 +124,7 @@ class Forest:
         scale = np.maximum(np.linalg.norm(queries, axis=1), 1e-300)[:, None]
         hashes = self._hashes(np.column_stack([queries / scale, np.zeros(len(queries))]))
         size, bits = len(self.order), self.settings.bits
-        enough = min(size, max(self.settings.least, round(self.settings.candidates * size)))
+        enough = max(self.settings.least, round(self.settings.candidates * size))
         begin = np.zeros(hashes.shape, "int64")
         end = np.full(hashes.shape, size, "int64")
         climbing = np.arange(len(queries))

@@ -48,6 +48,7 @@ def test_recall(spark, blocks):
 
 def test_many_copies_hide_nothing(spark):
     x = vectors(900)
+    x[20] *= 4 / np.linalg.norm(x[20])
     x[300:700] = x[20]
     got = searched(spark, [(k, v.tolist(), "x") for k, v in enumerate(x)])
     assert [i for i, _ in got[20]] == [300 + k for k in range(20)]
