@@ -18,6 +18,10 @@ HELD_OUT = 2
 _SPACED = bytes(b if chr(b) not in string.punctuation and b >= 32 else 32 for b in range(256))
 
 
+#: Lengths, in letters, of the beginnings of words that count as words of their own: inflected words share them.
+STEMS = (4, 5)
+
+
 class Hashes(dict):
     """Hashes of byte strings, remembered up to a bound."""
 
@@ -31,6 +35,22 @@ class Hashes(dict):
         return np.fromiter(map(self.__getitem__, words), "uint64", len(words))
 
 
+class StemHashes(dict):
+    """For each word its hash and those of its beginnings, as bytes, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        letters = word.decode()
+        hashes = [xxhash.xxh64_intdigest(word, 1), *(xxhash.xxh64_intdigest(letters[:n], 100 + n) for n in STEMS)]
+        value = np.array(hashes, "uint64").tobytes()
+        if len(self) < CACHE:
+            self[word] = value
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """One row a word: the word itself first."""
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), "uint64").reshape(-1, 1 + len(STEMS))
+
+
 def plain_words(text: str) -> list[bytes]:
     """Lower-case words in UTF-8, ASCII punctuation and control characters taken as white space."""
     return text.lower().encode().translate(_SPACED).split()

@@ -1,7 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features are the distinct hashes of a text's words, neighbouring pairs and pairs with one word between, in ``2 ** bits``
-places. Learning goes through a bounded sample of labelled documents (``documents``, outside the held-out fold) in a fixed
+Features are the distinct hashes of a text's words, of neighbouring pairs and of pairs with one word between, in
+``2 ** bits`` places; single words also count by their first letters, so that inflected words are known by their stems. Learning goes through a bounded sample of labelled documents (``documents``, outside the held-out fold) in a fixed
 order, in one task: each coordinate has its own rate, which falls with the gradients it has seen, and the L1 term keeps
 coordinates at zero until there is evidence. The weights that are left, a few tens of thousands at most, are broadcast;
 scoring is a map over whole texts.
@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.frames import named
-from cohortloom.llm.hashed_text import Hashes, held_out, labelled_sample, paired, plain_words
+from cohortloom.llm.hashed_text import StemHashes, held_out, labelled_sample, paired, plain_words
 
-_HASHES = Hashes()
+_HASHES = StemHashes()
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,7 @@ class Settings:
     rounds: int = 3
     alpha: float = 0.3
     beta: float = 1.0
-    l1: float = 0.5
+    l1: float = 2.0
     l2: float = 1.0
 
 
@@ -54,8 +54,9 @@ class Weights:
 
 def features(text: str, bits: int) -> np.ndarray:
     """Places of a text's n-grams and skip-grams, repeats included."""
-    words = _HASHES.of(plain_words(text))
-    grams = [words, paired(words[:-1], words[1:], 1), paired(words[:-2], words[2:], 2)]
+    hashes = _HASHES.of(plain_words(text))
+    words = hashes[:, 0]
+    grams = [hashes.ravel(), paired(words[:-1], words[1:], 1), paired(words[:-2], words[2:], 2)]
     return (np.concatenate(grams) >> np.uint64(64 - bits)).astype("int64")
 
 
