@@ -276,10 +276,14 @@ def _part(name: str, part: str, step: str) -> str:
     return f"__{step}_{name}_{part}"
 
 
-def normalize_columns(kinds: Mapping[str, str]) -> Callable[[DataFrame], DataFrame]:
+def normalize_columns(
+    kinds: Mapping[str, str], where: Column | str | None = None
+) -> Callable[[DataFrame], DataFrame]:
     """``df.transform(normalize_columns({"age": "age", "dx": "diagnosis"}))``: normalize columns in place.
 
-    Other columns pass through. An age column also gives ``<column>_censored``, right after it.
+    Other columns pass through. An age column also gives ``<column>_censored``, right after it. The fences between the
+    steps stop filters that are put on the result, so a filter on the given columns goes into ``where``: it reaches the
+    scan, and rows that it drops are never normalized.
     """
 
     def transform(frame: DataFrame) -> DataFrame:
@@ -289,7 +293,8 @@ def normalize_columns(kinds: Mapping[str, str]) -> Callable[[DataFrame], DataFra
         plain = {name: f"_{i}" for i, name in enumerate(frame.columns)}
         keep = [alias for name, alias in plain.items() if name not in kinds]
         cells = {plain[name]: (plain[name], kind) for name, kind in kinds.items()}
-        table, finished = normalize_cells(frame.toDF(*plain.values()), cells, keep)
+        given = frame if where is None else frame.where(where)
+        table, finished = normalize_cells(given.toDF(*plain.values()), cells, keep)
         output: list[Column] = []
         for name, alias in plain.items():
             parts = finished.get(alias, {"value": F.col(alias)})

@@ -106,8 +106,8 @@ def get_mapping(study_id: str) -> SourceMapping:
 def harmonize(frame: DataFrame, mapping: SourceMapping) -> DataFrame:
     """One study's raw table as canonical rows.
 
-    A narrow projection: no shuffle, and only mapped source columns are read. Fields without a source column are typed
-    nulls. Source names are matched case by case in Python and read by position, so names that Spark cannot tell apart
+    A narrow projection: no shuffle, and of a columnar source only mapped columns are read (delimited text is parsed whole
+    to find rows that are too long). Fields without a source column are typed nulls. Source names are matched case by case in Python and read by position, so names that Spark cannot tell apart
     (``Sex``/``sex``) or would misread (dots) are safe.
     """
     positions: dict[str, int] = {}

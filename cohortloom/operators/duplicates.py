@@ -3,11 +3,13 @@
 A window over the id would bring all copies of an id, whole rows, into one task. Instead:
 
 1. Count ids with a partial aggregate: a task sends each of its ids once, whatever the number of copies, and no other
-   column is shuffled. Ids seen twice or more go to a checkpoint; usually there are few.
+   column is shuffled. Ids seen twice or more are written to scratch; usually there are few.
 2. If they fit a broadcast (their bytes are summed first), join them back without shuffling the rows at all.
-3. If not, split them. Ids with at least ``hot_rows`` copies are broadcast: they cannot take more than
-   ``id bytes of the batch / hot_rows``. The other ids are joined with a shuffle in which no id brings ``hot_rows``
-   rows; rows that are already decided, and rows without an id, are spread over all tasks.
+3. If not, broadcast those with the most copies, as many as fit. Rows of these ids and rows without an id are settled
+   and stay where they are; only the rest is shuffled, by id, to meet the other repeated ids.
+
+In the third case an id can only bring many rows into one task if the ids with at least as many copies do not fit a
+broadcast together; Spark's skew join splits such a task.
 """
 
 from __future__ import annotations
@@ -15,12 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.sources.scratch import ensure_checkpoint_dir
+from cohortloom.sources.scratch import staged
 
 BROADCAST_BYTES = 64 << 20
-HOT_ROWS = 1_000_000
 _ROW_OVERHEAD = 64  # hash-table cost of one broadcast row, beside its id
-_SPREAD = 4096
 
 
 def repeated_ids(frame: DataFrame, key: str = "sample_id") -> DataFrame:
@@ -30,40 +30,39 @@ def repeated_ids(frame: DataFrame, key: str = "sample_id") -> DataFrame:
 
 
 def mark_duplicates(
-    frame: DataFrame,
-    key: str = "sample_id",
-    flag: str = "is_duplicate",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    frame: DataFrame, key: str = "sample_id", flag: str = "is_duplicate", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add a boolean column that is true on every copy of a repeated id. Runs the id count when called."""
-    ensure_checkpoint_dir(frame.sparkSession)
-    repeated = repeated_ids(frame, key).checkpoint()
-    size = F.coalesce(F.sum(F.octet_length("id") + _ROW_OVERHEAD), F.lit(0))
-    if repeated.agg(size).first()[0] <= broadcast_bytes:
-        found = F.broadcast(repeated.select(F.col("id").alias("__id"), F.lit(True).alias("__found")))
-        joined = frame.join(found, frame[key] == found["__id"], "left")
-        return joined.select(*_columns(frame), _decided("__found").alias(flag))
-    return _mark_split(frame, repeated, key, flag, hot_rows)
-
-
-def _mark_split(frame: DataFrame, repeated: DataFrame, key: str, flag: str, hot_rows: int) -> DataFrame:
-    is_hot = F.col("copies") >= hot_rows
-    hot = F.broadcast(repeated.where(is_hot).select(F.col("id").alias("__id"), F.lit(True).alias("__hot")))
-    # The row number only picks a task for rows that match nothing; it never decides a result.
-    settled = F.col(key).isNull() | F.col("__hot").isNotNull()
-    lane = F.when(settled, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(_SPREAD))).otherwise(F.lit(0))
-    rows = frame.join(hot, frame[key] == hot["__id"], "left").select(
-        *_columns(frame),
-        F.col("__hot"),
-        F.when(~settled, F.col(key)).alias("__key"),
-        lane.cast("int").alias("__lane"),
-    )
-    cold = repeated.where(~is_hot).select(
-        F.col("id").alias("__key"), F.lit(0).alias("__lane"), F.lit(True).alias("__cold")
-    )
-    joined = rows.join(cold, ["__key", "__lane"], "left")
-    return joined.select(*_columns(frame), (_decided("__hot") | _decided("__cold")).alias(flag))
+    repeated = staged(repeated_ids(frame, key), "repeated-ids")
+    octaves = F.floor(F.log2("copies")).cast("int").alias("octave")
+    cost = F.sum(F.octet_length(F.col("id").cast("string")) + _ROW_OVERHEAD).alias("bytes")
+    sizes = {row.octave: row.bytes for row in repeated.groupBy(octaves).agg(cost).collect()}  # at most 63 rows
+    hot_from, total = 64, 0
+    for octave in sorted(sizes, reverse=True):
+        total += sizes[octave]
+        if total > broadcast_bytes:
+            break
+        hot_from = octave
+    if total <= broadcast_bytes:
+        return _looked_up(frame, repeated, key).select(*_columns(frame), _decided("__found").alias(flag))
+    return _mark_split(frame, repeated, key, flag, 2.0**hot_from)
+
+
+def _mark_split(frame: DataFrame, repeated: DataFrame, key: str, flag: str, hot_copies: float) -> DataFrame:
+    is_hot = F.col("copies") >= hot_copies
+    marked = _looked_up(frame, repeated.where(is_hot), key)
+    is_settled = F.col(key).isNull() | F.col("__found").isNotNull()
+    settled = marked.where(is_settled).select(*_columns(frame), _decided("__found").alias(flag))
+    cold = repeated.where(~is_hot).select(F.col("id").alias("__id"), F.lit(True).alias("__found"))
+    rest = marked.where(~is_settled).select(*_columns(frame))
+    joined = rest.join(cold, rest[key] == cold["__id"], "left")
+    return settled.union(joined.select(*_columns(frame), _decided("__found").alias(flag)))
+
+
+def _looked_up(frame: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows with ``__found``, true for these ids; the ids' bytes have been summed and fit a broadcast."""
+    found = F.broadcast(ids.select(F.col("id").alias("__id"), F.lit(True).alias("__found")))
+    return frame.join(found, frame[key] == found["__id"], "left")
 
 
 def _columns(frame: DataFrame) -> list[Column]:

@@ -48,39 +48,19 @@ def value_of(frame: DataFrame, name: str) -> Column:
     return column
 
 
-def outside(name: str) -> Callable[[DataFrame], Column]:
-    """Non-null and beyond the column's inclusive bounds; never fails when the column is absent."""
-    low, high = BOUNDS[name]
+def on_columns(*names: str, absent: bool, fails: Callable[..., Column]) -> Callable[[DataFrame], Column]:
+    """A condition on the values of some columns, and the answer where one of them is absent."""
 
     def predicate(frame: DataFrame) -> Column:
-        if name not in frame.columns:
-            return F.lit(False)
-        value = value_of(frame, name)
-        return (value < low) | (value > high)
-
-    return predicate
-
-
-def lacking(name: str) -> Callable[[DataFrame], Column]:
-    """Null, or text of nothing but whitespace; always fails when the column is absent."""
-
-    def predicate(frame: DataFrame) -> Column:
-        if name not in frame.columns:
-            return F.lit(True)
-        if isinstance(frame.schema[name].dataType, T.StringType):
-            return F.col(name).isNull() | (strip(F.col(name)) == "")
-        return value_of(frame, name).isNull()
+        if any(name not in frame.columns for name in names):
+            return F.lit(absent)
+        return fails(*(value_of(frame, name) for name in names))
 
     return predicate
 
 
-def _when_present(names: tuple[str, ...], build: Callable[..., Column], absent: bool = False):
-    def predicate(frame: DataFrame) -> Column:
-        if not set(names) <= set(frame.columns):
-            return F.lit(absent)
-        return build(*(value_of(frame, name) for name in names))
-
-    return predicate
+def is_lacking(value: Column) -> Column:
+    return value.isNull() | (strip(value.cast("string")) == "")
 
 
 DUPLICATE_FLAG = "__duplicate_sample_id"
@@ -94,15 +74,25 @@ def _is_duplicate(frame: DataFrame) -> Column:
     return F.col(DUPLICATE_FLAG) if "sample_id" in frame.columns else F.lit(False)
 
 
-def _range_rule(name: str, column: str) -> Rule:
+def _out_of_bounds(rule: str, column: str) -> Rule:
     low, high = BOUNDS[column]
-    return Rule(name, Severity.REJECT, f"{column} lies outside {low} to {high}.", outside(column))
+    condition = on_columns(column, absent=False, fails=lambda value: ~value.between(low, high))
+    return Rule(rule, Severity.REJECT, f"{column} lies outside {low} to {high}.", condition)
+
+
+def _flag(rule: str, description: str, *columns: str, absent: bool = False, fails: Callable[..., Column]) -> Rule:
+    return Rule(rule, Severity.FLAG, description, on_columns(*columns, absent=absent, fails=fails))
 
 
 RULES: tuple[Rule, ...] = (
     *(
-        Rule(f"missing_{name}", Severity.REJECT, f"{name} is required but null or empty.", lacking(name))
-        for name in REQUIRED_COLUMNS
+        Rule(
+            f"missing_{column}",
+            Severity.REJECT,
+            f"{column} is required but null or empty.",
+            on_columns(column, absent=True, fails=is_lacking),
+        )
+        for column in REQUIRED_COLUMNS
     ),
     Rule(
         "duplicate_sample_id",
@@ -115,42 +105,45 @@ RULES: tuple[Rule, ...] = (
         "diagnosis_not_recognized",
         Severity.REJECT,
         "diagnosis is not a word of the vocabulary.",
-        _when_present(("diagnosis",), lambda diagnosis: ~one_of(diagnosis, DIAGNOSES), absent=True),
+        on_columns("diagnosis", absent=True, fails=lambda diagnosis: ~one_of(diagnosis, DIAGNOSES)),
     ),
-    _range_rule("age_out_of_range", "age_years"),
-    _range_rule("braak_out_of_range", "braak_stage"),
-    _range_rule("cerad_out_of_range", "cerad_score"),
-    _range_rule("rin_out_of_range", "rin"),
-    _range_rule("pmi_out_of_range", "pmi_hours"),
-    Rule(
+    _out_of_bounds("age_out_of_range", "age_years"),
+    _out_of_bounds("braak_out_of_range", "braak_stage"),
+    _out_of_bounds("cerad_out_of_range", "cerad_score"),
+    _out_of_bounds("rin_out_of_range", "rin"),
+    _out_of_bounds("pmi_out_of_range", "pmi_hours"),
+    _flag(
         "ad_without_pathology",
-        Severity.FLAG,
         "AD although the Braak stage is 0 or I.",
-        _when_present(("diagnosis", "braak_stage"), lambda dx, stage: (dx == "AD") & (stage <= 1)),
+        "diagnosis",
+        "braak_stage",
+        fails=lambda diagnosis, stage: (diagnosis == "AD") & (stage <= 1),
     ),
-    Rule(
+    _flag(
         "control_with_pathology",
-        Severity.FLAG,
         "Control although the Braak stage is V or VI.",
-        _when_present(("diagnosis", "braak_stage"), lambda dx, stage: (dx == "CONTROL") & (stage >= 5)),
+        "diagnosis",
+        "braak_stage",
+        fails=lambda diagnosis, stage: (diagnosis == "CONTROL") & (stage >= 5),
     ),
-    Rule(
+    _flag(
         "degraded_rna",
-        Severity.FLAG,
         f"RIN under {DEGRADED_RIN}: expression values are unsafe.",
-        _when_present(("rin",), lambda rin: rin < DEGRADED_RIN),
+        "rin",
+        fails=lambda rin: rin < DEGRADED_RIN,
     ),
-    Rule(
+    _flag(
         "implausibly_young",
-        Severity.FLAG,
         f"age_years under {YOUNG_AGE}: look for a unit error.",
-        _when_present(("age_years",), lambda age: age < YOUNG_AGE),
+        "age_years",
+        fails=lambda age: age < YOUNG_AGE,
     ),
-    Rule(
+    _flag(
         "missing_age",
-        Severity.FLAG,
         "age_years is null: usable, but not for age adjustment.",
-        _when_present(("age_years",), lambda age: age.isNull(), absent=True),
+        "age_years",
+        absent=True,
+        fails=lambda age: age.isNull(),
     ),
 )
 

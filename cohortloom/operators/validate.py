@@ -63,6 +63,15 @@ class ValidationReport:
         kept = self.verdicts.where(F.col(REJECTED) if rejected else ~F.col(REJECTED))
         return kept.select(*(F.col(f"`{name}`") for name in self.columns if name != extra), extra)
 
+    def routed(self) -> DataFrame:
+        """Every row once: the given columns, ``is_clean``, and ``detail``, its flags if clean, else its reasons.
+
+        The way to read both tables in one pass; ``clean`` and ``quarantined`` run the input once each.
+        """
+        detail = F.when(F.col(REJECTED), F.col(REASON)).otherwise(F.col(FLAGS))
+        kept = [F.col(f"`{name}`") for name in self.columns if name not in (FLAGS, REASON)]
+        return self.verdicts.select(*kept, (~F.col(REJECTED)).alias("is_clean"), detail.alias("detail"))
+
     def measures(self) -> list[Column]:
         """Aggregates over all rows: size, rejections, failures per rule (flags of rejected rows count too)."""
         return [
@@ -117,7 +126,7 @@ def pass_rate(total: int, quarantined: int) -> float:
 
 
 def summarize(total: int, quarantined: int, rule_counts: dict[str, int]) -> str:
-    """One line for logs and alerts."""
+    """One line for logs and alerts. Fixed value: its wording."""
     triggered = {name: count for name, count in rule_counts.items() if count}
     return (
         f"{total - quarantined}/{total} records passed ({pass_rate(total, quarantined):.1%}); "
@@ -129,7 +138,8 @@ def validate(frame: DataFrame, rules: tuple[Rule, ...] = RULES) -> ValidationRep
     """Judge every row by the given rules.
 
     Row rules are one projection. The duplicate rule is the only one that looks across rows, see
-    :mod:`cohortloom.operators.duplicates`.
+    :mod:`cohortloom.operators.duplicates`; with it, this call runs the input once to count ids, so an input that is
+    costly to make should be written first, as ``run_all`` does. Everything else runs when the report's tables are read.
     """
     rejecting = [rule for rule in rules if rule.severity is Severity.REJECT]
     flagging = [rule for rule in rules if rule.severity is Severity.FLAG]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import normalizers as N
 from cohortloom.functions.text import is_blank, normalize_text
 from cohortloom.operators.audit import audit_deliveries, delivered_columns, expected_columns, uncovered_studies
-from cohortloom.operators.crosswalk import MAPPINGS, get_mapping, harmonize, harmonize_many
+from cohortloom.operators.crosswalk import MAPPINGS, get_mapping, harmonize, harmonize_many, union_studies
 from cohortloom.operators.duplicates import mark_duplicates
 from cohortloom.operators.rules import RULES, Severity, rules_named
 from cohortloom.operators.validate import ValidationReport, rule_masks, validate
@@ -69,7 +69,7 @@ RULE_GROUPS = {
     ),
     "rule_flags": FLAG_NAMES,
 }
-STUDY_PICKS = ("GSE5281", "GSE999999", "GSE33000", "GSE125583", "GSE000000")
+STUDY_PICKS = ("GSE5281", "STUDY-X1", "GSE33000", "GSE125583", "STUDY-X2")
 
 
 # --- sources -------------------------------------------------------------------------------------------------------
@@ -96,8 +96,19 @@ def bronze_scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = bronze_lake(spark, sf_dir).list_files(BRONZE, "GSE")
-    return files.select(F.split("path", "/").getItem(0).alias("delivery")).distinct()
+    """Every file of a bronze layer in order, hidden ones too, and again under a prefix."""
+    lake = Lake.at(spark, scratch_path(spark, "lake"))
+    for study, frame in cohorts(spark, sf_dir).items():
+        frame.coalesce(1).write.options(**CSV_OUT).csv(lake.path(BRONZE, FILES[study]))
+
+    def listed(prefix: str) -> DataFrame:
+        files = lake.list_files(BRONZE, prefix).agg(F.collect_list(F.struct("path", "length")).alias("files"))
+        each = files.select(F.posexplode("files").alias("position", "file"))
+        # Spark's file names hold a random part.
+        name = F.regexp_replace("file.path", "part-([0-9]+)-[0-9a-f-]{36}-c000", "part-$1")
+        return each.select(F.lit(prefix).alias("prefix"), "position", name.alias("path"), F.col("file.length") > 0)
+
+    return listed("").union(listed("GSE33000_m")).toDF("prefix", "position", "path", "has_bytes")
 
 
 # --- normalizers ---------------------------------------------------------------------------------------------------
@@ -149,7 +160,7 @@ def _cohort_query(study: str) -> Query:
 
 
 def harmonize_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    renamed = {"age": "age_yrs", "sex": "gender", "disease_state": "dx"}
+    renamed = {"age": "age_raw", "sex": "reported_sex", "disease_state": "status"}
     return harmonize(cohort(spark, sf_dir, "GSE5281").withColumnsRenamed(renamed), get_mapping("GSE5281"))
 
 
@@ -157,11 +168,23 @@ def harmonized_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonize_many(spark, cohorts(spark, sf_dir), MAPPINGS)
 
 
+def harmonize_empty_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The union of no studies is typed: it joins a harmonized cohort without adding a row or changing a column."""
+    return union_studies(spark, []).unionByName(harmonize(cohort(spark, sf_dir, "GSE5281"), get_mapping("GSE5281")))
+
+
 def mapping_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = cohorts(spark, sf_dir)
-    frames["GSE5281"] = frames["GSE5281"].withColumn("new_upstream_field", F.lit("x"))
-    frames["GSE33000"] = frames["GSE33000"].withColumnRenamed("pmi", "post_mortem").withColumnRenamed("dx", "DX")
-    audit = audit_deliveries(delivered_columns(frames), expected_columns(spark, MAPPINGS.values()))
+    """Headers as delivered in a lake, one of them without rows, held against the registry."""
+    lake = Lake.at(spark, scratch_path(spark, "lake"))
+    sent = {
+        "GSE5281": cohort(spark, sf_dir, "GSE5281").withColumn("scanner_model", F.lit("x")),
+        "GSE33000": cohort(spark, sf_dir, "GSE33000").withColumnsRenamed({"pmi": "post_mortem", "dx": "DX"}),
+    }
+    for study, frame in sent.items():
+        frame.write.options(**CSV_OUT).csv(lake.path(BRONZE, FILES[study]))
+    frames = {study: lake.read_csv(BRONZE, FILES[study], multiline=False) for study in sent}
+    frames["GSE125583"] = cohort(spark, sf_dir, "GSE125583").where(F.lit(False))
+    audit = audit_deliveries(delivered_columns(spark, frames), expected_columns(spark, MAPPINGS.values()))
     return audit.withColumns({name: F.array_join(name, ",") for name in ("matched", "missing", "unmapped")})
 
 
@@ -185,11 +208,21 @@ def _masks_query(*names: str) -> Query:
     return lambda spark, sf_dir: rule_masks(mixed_batch(spark, sf_dir), rules)
 
 
-def duplicate_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").select(
+def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
         F.concat_ws("_", "l_orderkey", "l_linenumber").alias("sample_id"), "l_partkey"
     )
-    return mark_duplicates(items)
+
+
+def duplicate_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_duplicates(_line_items(spark, sf_dir))
+
+
+def duplicate_line_items_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where the repeated ids don't fit a broadcast: a tenth of the rows share one id, some have none."""
+    key = F.when(F.col("l_partkey") % 10 == 0, "many").when(F.col("l_partkey") % 11 != 0, F.col("sample_id"))
+    items = _line_items(spark, sf_dir).withColumn("sample_id", key)
+    return mark_duplicates(items, broadcast_bytes=100)
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> ValidationReport:
@@ -197,14 +230,8 @@ def _validated(spark: SparkSession, sf_dir: str) -> ValidationReport:
 
 
 def validate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = _validated(spark, sf_dir)
-
-    def routed(frame: DataFrame, layer: str, detail: str) -> DataFrame:
-        return frame.select("sample_id", "source_study", F.lit(layer).alias("layer"), F.col(detail).alias("detail"))
-
-    return routed(report.clean, "silver", "quality_flags").unionByName(
-        routed(report.quarantined, "quarantine", "quarantine_reason")
-    )
+    layer = F.when(F.col("is_clean"), "silver").otherwise("quarantine")
+    return _validated(spark, sf_dir).routed().select("sample_id", "source_study", layer.alias("layer"), "detail")
 
 
 def validate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,12 +319,36 @@ def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The counts a published run's manifest carries."""
-    fields = "struct<rows_in:bigint,rows_clean:bigint,rows_quarantined:bigint,rule_counts:map<string,bigint>>"
-    record = _published(spark, sf_dir).read_manifests().select(F.from_json("manifest_json", fields).alias("m"))
-    sizes = ("rows_in", "rows_clean", "rows_quarantined")
-    whole = F.map_from_arrays(F.array(*map(F.lit, sizes)), F.array(*(F.col(f"m.{name}") for name in sizes)))
-    return record.select(F.explode(F.map_concat(whole, "m.rule_counts")).alias("measure", "value"))
+    """All a published run's manifest says, but for its times and the folder of its lake."""
+    texts, counts = "map<string,string>", "map<string,bigint>"
+    fields = (
+        f"run_id:string,started_at:string,finished_at:string,studies:array<string>,source_paths:{texts},"
+        f"mapping_audit:{texts},mapping_notes:{texts},rule_counts:{counts},rows_in:bigint,rows_clean:bigint,"
+        "rows_quarantined:bigint,silver_path:string,quarantine_path:string"
+    )
+    record = _published(spark, sf_dir).read_manifests()
+    m = record.select(F.from_json("manifest_json", f"struct<{fields}>").alias("m")).select("m.*")
+
+    def named(name: str, column: Column) -> Column:
+        return F.transform_keys(column, lambda key, _: F.concat(F.lit(f"{name}:"), key))
+
+    def folder(path: str) -> Column:
+        return F.regexp_extract(path, "(silver|quarantine)/samples/run_id=.*$", 0)
+
+    single = {
+        "run_id": F.col("run_id"),
+        "studies": F.array_join("studies", ","),
+        "is_timed": (F.to_timestamp("started_at") <= F.to_timestamp("finished_at")).cast("string"),
+        "rows_in": F.col("rows_in").cast("string"),
+        "rows_clean": F.col("rows_clean").cast("string"),
+        "rows_quarantined": F.col("rows_quarantined").cast("string"),
+        "silver_path": folder("silver_path"),
+        "quarantine_path": folder("quarantine_path"),
+    }
+    whole = F.map_from_arrays(F.array(*map(F.lit, single)), F.array(*single.values()))
+    rules = F.transform_values("rule_counts", lambda _, n: n.cast("string"))
+    nested = [named(name, F.col(name)) for name in ("source_paths", "mapping_audit", "mapping_notes")]
+    return m.select(F.explode(F.map_concat(whole, *nested, named("rule_counts", rules))).alias("measure", "value"))
 
 
 QUERIES: dict[str, Query] = {
@@ -314,11 +365,13 @@ QUERIES: dict[str, Query] = {
     "harmonize_cohort_c": _cohort_query("GSE125583"),
     "harmonize_missing_column": harmonize_missing_column,
     "harmonize_union": harmonized_union,
+    "harmonize_empty_union": harmonize_empty_union,
     "mapping_audit": mapping_audit,
     "unmapped_studies": unmapped_studies,
     "rule_masks": _masks_query(),
     **{name: _masks_query(*rules) for name, rules in RULE_GROUPS.items()},
     "rule_duplicate_sample_id": duplicate_line_items,
+    "rule_duplicate_split": duplicate_line_items_split,
     "validate_split": validate_split,
     "validate_reasons": validate_reasons,
     "validate_rule_subset": validate_rule_subset,

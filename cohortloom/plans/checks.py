@@ -6,26 +6,156 @@ so that a comparison tests the merging too.
 
 from __future__ import annotations
 
-from cohortloom.functions.normalizers import (
-    BRAAK_WORDS,
-    CENSORED_AGE,
-    CERAD_LABELS,
-    CERAD_WORDS,
-    DIAGNOSIS_PHRASES,
-    DIAGNOSIS_QUALIFIERS,
-    DIAGNOSIS_TOKENS,
-    FEMALE_TOKENS,
-    MALE_TOKENS,
-    ROMAN_STAGES,
-)
-from cohortloom.functions.text import BLANK_TOKENS, SPACES
-from cohortloom.operators.crosswalk import FIELD_KINDS, MAPPINGS
-from cohortloom.operators.rules import RULES, Severity
-from cohortloom.plans.catalogue import FILES, FLAG_NAMES, RAW_FIELDS, RULE_GROUPS, STUDY_PICKS, SUBSET, TABLE_KINDS
-from cohortloom.plans.cohorts import COHORTS, OUTLIER_ID, OUTLIER_KEY, OUTLIERS
-from cohortloom.schema import BOUNDS, CANONICAL_COLUMNS, CANONICAL_SCHEMA, DIAGNOSES
-
-SQL_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "bigint": "BIGINT"}
+from cohortloom.plans.cohorts import COHORTS, OUTLIER_ID, OUTLIER_KEY
+
+# The input cohorts are shared: both sides must read the same rows. All else is spelled out again here, so that a slip in
+# the engine's tables shows.
+
+# The canonical columns and their types, and what each study's columns become.
+CANONICAL = {
+    "sample_id": "VARCHAR",
+    "source_study": "VARCHAR",
+    "subject_id": "VARCHAR",
+    "age_years": "DOUBLE",
+    "age_censored": "BOOLEAN",
+    "sex": "VARCHAR",
+    "diagnosis": "VARCHAR",
+    "braak_stage": "BIGINT",
+    "cerad_score": "BIGINT",
+    "apoe_genotype": "VARCHAR",
+    "brain_region": "VARCHAR",
+    "platform": "VARCHAR",
+    "rin": "DOUBLE",
+    "pmi_hours": "DOUBLE",
+    "batch": "VARCHAR",
+}
+KINDS = {
+    "age_years": "age",
+    "sex": "sex",
+    "diagnosis": "diagnosis",
+    "braak_stage": "braak",
+    "cerad_score": "cerad",
+    "apoe_genotype": "apoe",
+    "rin": "float",
+    "pmi_hours": "float",
+}
+CROSSWALKS = {
+    "GSE5281": {
+        "geo_accession": "sample_id",
+        "subject": "subject_id",
+        "age": "age_years",
+        "sex": "sex",
+        "disease_state": "diagnosis",
+        "region": "brain_region",
+        "apoe": "apoe_genotype",
+    },
+    "GSE33000": {
+        "sample": "sample_id",
+        "donor_id": "subject_id",
+        "age_at_death": "age_years",
+        "gender": "sex",
+        "dx": "diagnosis",
+        "braak": "braak_stage",
+        "tissue": "brain_region",
+        "pmi": "pmi_hours",
+        "scan_batch": "batch",
+    },
+    "GSE125583": {
+        "title": "sample_id",
+        "patient": "subject_id",
+        "age": "age_years",
+        "Sex": "sex",
+        "diagnosis": "diagnosis",
+        "braak_stage": "braak_stage",
+        "cerad": "cerad_score",
+        "apoe_genotype": "apoe_genotype",
+        "brain_region": "brain_region",
+        "rin": "rin",
+        "pmi_hrs": "pmi_hours",
+        "seq_batch": "batch",
+    },
+}
+PLATFORMS = {
+    "GSE5281": "Affymetrix HG-U133 Plus 2.0",
+    "GSE33000": "Rosetta/Merck Human 44k",
+    "GSE125583": "Illumina HiSeq 2500",
+}
+NOTES = {
+    "GSE5281": "Microarray without neuropathology: Braak stage and CERAD score stay null.",
+    "GSE33000": (
+        "Ages end at '90+' (Safe Harbor): capped at 90 and marked censored. Braak stage in Roman numerals."
+    ),
+    "GSE125583": "CERAD score in words, APOE genotype as two bare digits.",
+}
+FILES = {
+    "GSE5281": "GSE5281_metadata.csv",
+    "GSE33000": "GSE33000_metadata.csv",
+    "GSE125583": "GSE125583_metadata.csv",
+}
+# Spellings.
+BLANK_TOKENS = ["", "-", "--", ".", "n/a", "na", "nan", "none", "null", "missing", "unknown", "unk", "not reported"]
+BLANK_TOKENS += ["not available", "not applicable", "no data"]
+MALE_TOKENS = ["m", "male", "1", "man", "xy"]
+FEMALE_TOKENS = ["f", "female", "2", "woman", "xx"]
+DIAGNOSIS_TOKENS = {
+    "AD": ["ad", "load", "eoad"],
+    "MCI": ["mci", "ci"],
+    "CONTROL": ["control", "controls", "ctrl", "ctl", "nc", "hc", "normal", "healthy", "unaffected"],
+}
+DIAGNOSIS_PHRASES = [
+    ("MCI", ["mild cognitive impairment", "cognitive impairment"]),
+    ("AD", ["alzheimer"]),
+    ("CONTROL", ["non-demented", "nondemented", "no dementia", "cognitively normal", "cognitively unimpaired"]),
+    ("CONTROL", ["healthy control"]),
+    ("OTHER", ["frontotemporal", "lewy", "vascular dementia", "parkinson", "progressive supranuclear", "dementia"]),
+]
+SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]))
+SPACES += "".join(map(chr, [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+# The rules in their order, what rejects a row and what flags it.
+REJECTS = ["missing_sample_id", "missing_source_study", "missing_diagnosis", "duplicate_sample_id"]
+REJECTS += ["diagnosis_not_recognized", "age_out_of_range", "braak_out_of_range", "cerad_out_of_range"]
+REJECTS += ["rin_out_of_range", "pmi_out_of_range"]
+FLAG_NAMES = ["ad_without_pathology", "control_with_pathology", "degraded_rna", "implausibly_young", "missing_age"]
+RULE_NAMES = [*REJECTS, *FLAG_NAMES]
+# What the catalogue's queries look at.
+RAW_FIELDS = {
+    "sex": {"GSE5281": "sex", "GSE33000": "gender", "GSE125583": "Sex"},
+    "diagnosis": {"GSE5281": "disease_state", "GSE33000": "dx", "GSE125583": "diagnosis"},
+    "age": {"GSE5281": "age", "GSE33000": "age_at_death", "GSE125583": "age"},
+    "braak": {"GSE33000": "braak", "GSE125583": "braak_stage"},
+    "cerad": {"GSE125583": "cerad"},
+    "apoe": {"GSE5281": "apoe", "GSE125583": "apoe_genotype"},
+    "float": {"GSE33000": "pmi", "GSE125583": "rin"},
+}
+TABLE_KINDS = {
+    "title": "text",
+    "age": "age",
+    "Sex": "sex",
+    "diagnosis": "diagnosis",
+    "braak_stage": "braak",
+    "cerad": "cerad",
+    "apoe_genotype": "apoe",
+    "brain_region": "text",
+    "rin": "float",
+    "pmi_hrs": "float",
+}
+RULE_GROUPS = {
+    "rule_missing_required": REJECTS[:3],
+    "rule_vocabulary": ["diagnosis_not_recognized"],
+    "rule_ranges": REJECTS[5:],
+    "rule_flags": FLAG_NAMES,
+}
+# Rows of line items that break the rules; how often each value comes is up to the factor.
+OUTLIERS = {
+    "source_study": ("VARCHAR", 1, ["GSE5281", "GSE33000", None, "", "GSE125583"]),
+    "diagnosis": ("VARCHAR", 3, ["AD", "MCI", "CONTROL", "OTHER", "UNKNOWN", "not-a-real-dx", None, " "]),
+    "age_years": ("DOUBLE", 7, ["80", "200", "0", "120", "120.5", "-1", "12", "39.5", None, "NaN", "40"]),
+    "braak_stage": ("BIGINT", 4, ["0", "1", "6", "7", "5", None, "9", "-1", "3"]),
+    "cerad_score": ("BIGINT", 3, ["0", "3", "4", None, "-1"]),
+    "rin": ("DOUBLE", 7, ["1", "10", "10.5", "4.5", "5", None, "NaN", "0.5", "8"]),
+    "pmi_hours": ("DOUBLE", 5, ["0", "120", "120.5", None, "500", "-0.5", "NaN"]),
+}
+
 NUMBER = r"-?\d+(?:\.\d+)?"
 
 
@@ -78,7 +208,7 @@ def normalize_sex(v: str) -> str:
 
 def normalize_diagnosis(v: str) -> str:
     cleaned = f"replace(replace({squeeze(low(v))}, '''', ''), '’', '')"
-    bare = f"regexp_replace({cleaned}, '^({'|'.join(DIAGNOSIS_QUALIFIERS)})\\s+', '')"
+    bare = f"regexp_replace({cleaned}, '^(probable|definite|possible|suspected)\\s+', '')"
     branches = [f"WHEN {blank(v)} THEN 'UNKNOWN'"]
     for form in (cleaned, bare):
         branches += [f"WHEN {form} IN ({texts(tokens)}) THEN '{label}'" for label, tokens in DIAGNOSIS_TOKENS.items()]
@@ -88,7 +218,9 @@ def normalize_diagnosis(v: str) -> str:
 
 
 def _age(v: str) -> tuple[str, str, str]:
-    ceiling = f"regexp_matches({low(v)}, '{CENSORED_AGE.replace('{s}', SPACE)}')"
+    ceiling = (
+        f"regexp_matches({low(v)}, '90{SPACE}*\\+|90{SPACE}*or{SPACE}*(older|above|more)|>{SPACE}*(89|90)|89\\+')"
+    )
     units = f"regexp_replace({low(v)}, '\\b(years?|yrs?|y/?o)\\b', '', 'g')"
     return blank(v), ceiling, f"try_cast({first(f"replace({units}, ',', '.')", NUMBER)} AS DOUBLE)"
 
@@ -112,15 +244,16 @@ def _coded(v: str, codes: dict[str, int]) -> str:
 
 
 def normalize_braak(v: str) -> str:
-    words = f"regexp_replace({low(v)}, '\\b({BRAAK_WORDS})\\b', ' ', 'g')"
+    words = f"regexp_replace({low(v)}, '\\b(braak|stage|nft|score)\\b', ' ', 'g')"
     dashed = f"replace(replace(replace({words}, '&', '-'), '/', '-'), 'to', '-')"
     bound = f"trim(string_split_regex(trim({squeeze(dashed)}, ' .-'), '\\s*-\\s*|\\s+or\\s+')[1])"
-    return f"CASE WHEN {blank(v)} THEN NULL ELSE {_coded(bound, {'0': 0} | ROMAN_STAGES)} END"
+    return f"CASE WHEN {blank(v)} THEN NULL ELSE {_coded(bound, {'0': 0, 'i': 1, 'ii': 2, 'iii': 3, 'iv': 4, 'v': 5, 'vi': 6})} END"
 
 
 def normalize_cerad(v: str) -> str:
-    words = f"regexp_replace({low(v)}, '\\b({CERAD_WORDS})\\b', ' ', 'g')"
-    return _coded(f"trim({squeeze(words)}, ' .-')", CERAD_LABELS)
+    words = f"regexp_replace({low(v)}, '\\b(cerad|score|plaques?|neuritic)\\b', ' ', 'g')"
+    labels = {"none": 0, "zero": 0, "sparse": 1, "mild": 1, "moderate": 2, "frequent": 3, "severe": 3}
+    return _coded(f"trim({squeeze(words)}, ' .-')", labels)
 
 
 def normalize_apoe(v: str) -> str:
@@ -170,23 +303,21 @@ def cohort(study: str) -> str:
 
 
 def harmonized(study: str, absent: tuple[str, ...] = ()) -> str:
-    mapping = MAPPINGS[study]
+    source_of = {field: source for source, field in CROSSWALKS[study].items()}
     cells = []
-    for field in CANONICAL_SCHEMA.fields:
-        name, kind = field.name, FIELD_KINDS.get(field.name, "text")
-        source = mapping.field_map.get(name)
-        age = mapping.field_map.get("age_years")
+    for name, dtype in CANONICAL.items():
+        source, age = source_of.get(name), source_of["age_years"]
         if name == "source_study":
             value = text(study)
         elif name == "age_censored":
-            value = "false" if age is None or age in absent else age_censored(quoted(age))
-        elif name in mapping.constants:
-            value = text(mapping.constants[name])
+            value = "false" if age in absent else age_censored(quoted(age))
+        elif name == "platform":
+            value = text(PLATFORMS[study])
         elif source is None or source in absent:
             value = "NULL"
         else:
-            value = BUILDERS[kind](quoted(source))
-        cells.append(f"CAST({value} AS {SQL_TYPES[field.dataType.simpleString()]}) AS {name}")
+            value = BUILDERS[KINDS.get(name, "text")](quoted(source))
+        cells.append(f"CAST({value} AS {dtype}) AS {name}")
     return f"SELECT {', '.join(cells)} FROM ({cohort(study)})"
 
 
@@ -196,7 +327,7 @@ def union() -> str:
 
 def outliers() -> str:
     cells = ", ".join(
-        f"CAST({pick(factor, words)} AS {SQL_TYPES[dtype]}) AS {name}"
+        f"CAST({pick(factor, words)} AS {dtype}) AS {name}"
         for name, (dtype, factor, words) in OUTLIERS.items()
     )
     return f"SELECT {OUTLIER_ID} AS sample_id, {cells} FROM (SELECT *, {OUTLIER_KEY} AS k FROM lineitem)"
@@ -220,15 +351,14 @@ def _predicates() -> dict[str, str]:
         f"missing_{name}": f"{name} IS NULL OR {strip(name)} = ''" for name in ("sample_id", "source_study", "diagnosis")
     }
     predicates["duplicate_sample_id"] = "sample_id IS NOT NULL AND count(*) OVER (PARTITION BY sample_id) > 1"
-    predicates["diagnosis_not_recognized"] = f"diagnosis IS NOT NULL AND diagnosis NOT IN ({texts(DIAGNOSES)})"
-    for rule, name in (
-        ("age_out_of_range", "age_years"),
-        ("braak_out_of_range", "braak_stage"),
-        ("cerad_out_of_range", "cerad_score"),
-        ("rin_out_of_range", "rin"),
-        ("pmi_out_of_range", "pmi_hours"),
+    predicates["diagnosis_not_recognized"] = f"diagnosis IS NOT NULL AND diagnosis NOT IN ('AD', 'MCI', 'CONTROL', 'OTHER', 'UNKNOWN')"
+    for rule, name, lowest, highest in (
+        ("age_out_of_range", "age_years", 0, 120),
+        ("braak_out_of_range", "braak_stage", 0, 6),
+        ("cerad_out_of_range", "cerad_score", 0, 3),
+        ("rin_out_of_range", "rin", 1, 10),
+        ("pmi_out_of_range", "pmi_hours", 0, 120),
     ):
-        lowest, highest = BOUNDS[name]
         predicates[rule] = f"({_number(name)}) < {lowest} OR ({_number(name)}) > {highest}"
     predicates["ad_without_pathology"] = "diagnosis = 'AD' AND braak_stage <= 1"
     predicates["control_with_pathology"] = "diagnosis = 'CONTROL' AND braak_stage >= 5"
@@ -241,19 +371,18 @@ def _predicates() -> dict[str, str]:
 PREDICATES = _predicates()
 
 
-def judged(batch: str, names: tuple[str, ...] = tuple(rule.name for rule in RULES)) -> str:
+def judged(batch: str, names: tuple[str, ...] = tuple(RULE_NAMES)) -> str:
     """The batch with a boolean per rule, the verdict, the reasons and the flags."""
-    severity = {rule.name: rule.severity for rule in RULES}
     masks = ", ".join(f"coalesce({PREDICATES[name]}, false) AS {name}" for name in names)
 
-    def joined(wanted: Severity) -> str:
-        hits = [f"CASE WHEN {name} THEN '{name}' END" for name in sorted(names) if severity[name] is wanted]
+    def joined(wanted: list[str]) -> str:
+        hits = [f"CASE WHEN {name} THEN '{name}' END" for name in sorted(names) if name in wanted]
         return f"concat_ws(';', {', '.join(hits)})"
 
-    rejects = " OR ".join(name for name in names if severity[name] is Severity.REJECT)
+    rejects = " OR ".join(name for name in names if name in REJECTS)
     return (
-        f"SELECT *, ({rejects}) AS rejected, {joined(Severity.REJECT)} AS quarantine_reason, "
-        f"{joined(Severity.FLAG)} AS quality_flags FROM (SELECT *, {masks} FROM ({batch}))"
+        f"SELECT *, ({rejects}) AS rejected, {joined(REJECTS)} AS quarantine_reason, "
+        f"{joined(FLAG_NAMES)} AS quality_flags FROM (SELECT *, {masks} FROM ({batch}))"
     )
 
 
@@ -262,12 +391,12 @@ def masks(names: tuple[str, ...]) -> str:
 
 
 def silver() -> str:
-    return f"SELECT {', '.join(CANONICAL_COLUMNS)}, quality_flags FROM ({judged(union())}) WHERE NOT rejected"
+    return f"SELECT {', '.join(CANONICAL)}, quality_flags FROM ({judged(union())}) WHERE NOT rejected"
 
 
 def counts(batch: str) -> str:
     rows = " UNION ALL ".join(
-        f"SELECT '{rule.name}' AS rule, count(*) FILTER (WHERE {rule.name}) AS failures FROM judged" for rule in RULES
+        f"SELECT '{name}' AS rule, count(*) FILTER (WHERE {name}) AS failures FROM judged" for name in RULE_NAMES
     )
     return f"WITH judged AS ({judged(batch)}) {rows}"
 
@@ -288,7 +417,7 @@ def rates() -> str:
 def _field_sql(kind: str) -> str:
     selects = []
     for study, column in RAW_FIELDS[kind].items():
-        sample, raw = quoted(MAPPINGS[study].field_map["sample_id"]), quoted(column)
+        sample, raw = quoted(next(iter(CROSSWALKS[study]))), quoted(column)
         censored = f", {age_censored(raw)} AS value_censored" if kind == "age" else ""
         selects.append(
             f"SELECT '{study}' AS study_id, {sample} AS sample, {raw} AS raw, {BUILDERS[kind](raw)} AS value{censored} "
@@ -321,14 +450,14 @@ def _audit_sql() -> str:
     delivered, expected = [], []
     for study, (source, _, columns) in COHORTS.items():
         names = [renamed.get(name, name) if study == "GSE33000" else name for name in columns]
-        names += ["new_upstream_field"] if study == "GSE5281" else []
+        names += ["scanner_model"] if study == "GSE5281" else []
+        # The third delivery is a header without rows.
+        rows = "(SELECT 1)" if study == "GSE125583" else source
         delivered.append(
             f"SELECT DISTINCT '{study}' AS study_id, c.name AS column_name "
-            f"FROM {source}, (SELECT unnest([{texts(names)}]) AS name) AS c"
-        )
-        expected.append(
-            f"SELECT '{study}' AS study_id, unnest([{texts(sorted(MAPPINGS[study].source_columns()))}]) AS column_name"
+            f"FROM {rows}, (SELECT unnest([{texts(names)}]) AS name) AS c"
         )
+        expected.append(f"SELECT '{study}' AS study_id, unnest([{texts(sorted(CROSSWALKS[study]))}]) AS column_name")
     sides = {
         "matched": "came AND wanted",
         "missing": "wanted AND NOT came",
@@ -361,13 +490,41 @@ def _flagship_sql() -> str:
 
 
 def _manifest_sql() -> str:
-    return (
-        f"WITH judged AS ({judged(union())}) "
-        "SELECT 'rows_in' AS measure, count(*) AS value FROM judged "
-        "UNION ALL SELECT 'rows_clean', count(*) FROM judged WHERE NOT rejected "
-        "UNION ALL SELECT 'rows_quarantined', count(*) FROM judged WHERE rejected "
-        + " ".join(f"UNION ALL SELECT '{r.name}', count(*) FILTER (WHERE {r.name}) FROM judged" for r in RULES)
-    )
+    fixed = {
+        "run_id": "0012",
+        "studies": "GSE125583,GSE33000,GSE5281",
+        "is_timed": "true",
+        "silver_path": "silver/samples/run_id=0012",
+        "quarantine_path": "quarantine/samples/run_id=0012",
+        **{f"source_paths:{study}": path for study, path in FILES.items()},
+        **{f"mapping_notes:{study}": note for study, note in NOTES.items()},
+        **{
+            f"mapping_audit:{study}": f"{study}: {len(columns)} mapped, 0 missing [], 0 source columns unused"
+            for study, columns in CROSSWALKS.items()
+        },
+    }
+    counted = {
+        "rows_in": "true",
+        "rows_clean": "NOT rejected",
+        "rows_quarantined": "rejected",
+        **{f"rule_counts:{name}": name for name in RULE_NAMES},
+    }
+    rows = [f"SELECT {text(name)} AS measure, {text(value)} AS value" for name, value in fixed.items()]
+    rows += [
+        f"SELECT {text(name)}, CAST(count(*) FILTER (WHERE {condition}) AS VARCHAR) FROM judged"
+        for name, condition in counted.items()
+    ]
+    return f"WITH judged AS ({judged(union())}) {' UNION ALL '.join(rows)}"
+
+
+def _inventory_sql() -> str:
+    rows = []
+    for prefix in ("", "GSE33000_m"):
+        names = [f"{file}/{name}" for file in sorted(FILES.values()) for name in ("_SUCCESS", "part-00000.csv")]
+        for position, path in enumerate(name for name in names if name.startswith(prefix)):
+            has_bytes = not path.endswith("_SUCCESS")
+            rows.append(f"({text(prefix)}, {position}, {text(path)}, {has_bytes})")
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS v(prefix, position, path, has_bytes)"
 
 
 def _bronze_sql() -> str:
@@ -376,7 +533,7 @@ def _bronze_sql() -> str:
 
 
 def sql() -> dict[str, str]:
-    canonical = ", ".join(CANONICAL_COLUMNS)
+    canonical = ", ".join(CANONICAL)
     empty = f"SELECT * FROM ({harmonized('GSE5281')}) WHERE sample_id IS NULL"
     return {
         "flagship_summary": _flagship_sql(),
@@ -384,7 +541,7 @@ def sql() -> dict[str, str]:
         "bronze_scan_multiline": (
             "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang FROM documents"
         ),
-        "layer_inventory": " UNION ALL ".join(f"SELECT '{name}' AS delivery" for name in FILES.values()),
+        "layer_inventory": _inventory_sql(),
         "is_blank_profile": _blank_sql(),
         "normalize_text": f"SELECT doc_id, {normalize_text('text')} AS text FROM documents",
         **{f"normalize_{kind}": _field_sql(kind) for kind in RAW_FIELDS},
@@ -394,17 +551,24 @@ def sql() -> dict[str, str]:
         "harmonize_cohort_c": harmonized("GSE125583"),
         "harmonize_missing_column": harmonized("GSE5281", absent=("age", "sex", "disease_state")),
         "harmonize_union": union(),
+        "harmonize_empty_union": harmonized("GSE5281"),
         "mapping_audit": _audit_sql(),
         "unmapped_studies": (
-            f"SELECT DISTINCT study_id FROM (SELECT list_extract([{texts(STUDY_PICKS)}], 1 + o_orderkey % "
-            f"{len(STUDY_PICKS)}) AS study_id FROM orders) WHERE study_id NOT IN ({texts(MAPPINGS)})"
+            "SELECT DISTINCT study_id FROM (SELECT list_extract(['GSE5281', 'STUDY-X1', 'GSE33000', 'GSE125583', "
+            "'STUDY-X2'], 1 + o_orderkey % 5) AS study_id FROM orders) "
+            "WHERE study_id NOT IN ('GSE5281', 'GSE33000', 'GSE125583')"
         ),
         "rule_masks": masks(tuple(PREDICATES)),
-        **{name: masks(rules) for name, rules in RULE_GROUPS.items()},
+        **{name: masks(tuple(rules)) for name, rules in RULE_GROUPS.items()},
         "rule_duplicate_sample_id": (
             "SELECT sample_id, l_partkey, count(*) OVER (PARTITION BY sample_id) > 1 AS is_duplicate "
             "FROM (SELECT concat(l_orderkey, '_', l_linenumber) AS sample_id, l_partkey FROM lineitem)"
         ),
+        "rule_duplicate_split": (
+            "SELECT sample_id, l_partkey, sample_id IS NOT NULL AND count(*) OVER (PARTITION BY sample_id) > 1 "
+            "AS is_duplicate FROM (SELECT CASE WHEN l_partkey % 10 = 0 THEN 'many' WHEN l_partkey % 11 <> 0 "
+            "THEN concat(l_orderkey, '_', l_linenumber) END AS sample_id, l_partkey FROM lineitem)"
+        ),
         "validate_split": (
             "SELECT sample_id, source_study, CASE WHEN rejected THEN 'quarantine' ELSE 'silver' END AS layer, "
             f"CASE WHEN rejected THEN quarantine_reason ELSE quality_flags END AS detail FROM ({judged(mixed())})"
@@ -413,7 +577,7 @@ def sql() -> dict[str, str]:
             f"SELECT quarantine_reason, count(*) AS samples FROM ({judged(mixed())}) WHERE rejected GROUP BY ALL"
         ),
         "validate_rule_subset": (
-            f"SELECT sample_id, diagnosis, quality_flags FROM ({judged(mixed(), SUBSET)}) WHERE NOT rejected"
+            f"SELECT sample_id, diagnosis, quality_flags FROM ({judged(mixed(), ('braak_out_of_range', 'degraded_rna', 'missing_age'))}) WHERE NOT rejected"
         ),
         "validate_empty": counts(empty),
         "rule_counts": counts(mixed()),

@@ -16,18 +16,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from cohortloom.sources.scratch import ensure_checkpoint_dir
+from cohortloom.sources.scratch import staged
 
 _CSV = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
 def read_delimited(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
-    """Read a CSV file, or a folder of them with one header.
+    """Read a CSV file, or a folder of them that all have the same header; other folders are an error.
 
     ``multiline`` says whether quoted cells hold line breaks. Leave it open to have the files checked, which reads them
     once more; set it per source where it is known.
     """
     names = _header(spark, path)
+    _check_headers(spark, path)
     if multiline is None:
         multiline = _has_open_lines(spark, path)
     rows = _joined_rows(spark, path, len(names)) if multiline else _line_rows(spark, path, len(names))
@@ -44,6 +45,31 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return _distinct_names([*cells[:-1], cells[-1].removesuffix("\r")])
 
 
+def _has_text(line: Column) -> Column:
+    """False for lines that Spark's own reader skips: nothing but control characters and spaces."""
+    return line.rlike(r"[^\x00-\x20]")
+
+
+def _check_headers(spark: SparkSession, path: str) -> None:
+    """Fields are read by position, so files with other headers would lose their meaning. A single file is not read."""
+    lines = spark.read.text(path)
+    if len(lines.inputFiles()) < 2:
+        return
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("position"),  # rising within a block
+        F.regexp_replace("value", r"^\ufeff|\r$", "").alias("line"),
+    )
+    first = placed.where((F.col("block") == 0) & _has_text(F.col("line"))).groupBy("file").agg(
+        F.min_by("line", "position").alias("header")
+    )
+    headers = first.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").take(2)
+    if len(headers) > 1:
+        told = " and ".join(f"{row.header!r} in {row.file}" for row in headers)
+        raise ValueError(f"Files of one delivery have different headers: {told}")
+
+
 def _distinct_names(header: list[str]) -> list[str]:
     """Header cells as column names: empty ones by position, repeated ones numbered (``a``, ``a.1``)."""
     names: list[str] = []
@@ -154,7 +180,6 @@ def _joined_rows(spark: SparkSession, path: str, width: int) -> DataFrame:
 
 def _records(spark: SparkSession, path: str) -> DataFrame:
     """One text per record, without the header. A record's lines are joined again by the line break they had."""
-    ensure_checkpoint_dir(spark)
     in_block = Window.partitionBy("file", "block")
     ordered = in_block.orderBy("position")
     lines = (
@@ -170,10 +195,10 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
         )
     )
     lines = _with_states(lines, ordered, if_out=False, if_in=True)
-    blocks = _placed_blocks(_block_outcomes(lines).checkpoint())
+    blocks = _placed_blocks(staged(_block_outcomes(lines), "csv-blocks"))
 
     # The windows and the join share one exchange; a group is one block of a file.
-    is_text = F.trim("value") != ""
+    is_text = _has_text(F.col("value"))
     first_text = F.min(F.when(is_text, F.col("position"))).over(in_block)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opens = ~F.col("inside") & F.col("from_out")

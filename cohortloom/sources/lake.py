@@ -76,27 +76,48 @@ class Lake:
         return self.spark.read.schema(T.StructType(fields)).parquet(path)
 
     def list_files(self, layer: str, prefix: str = "") -> DataFrame:
-        """``(path, length, modified)`` of a layer's files, paths relative to it and sorted; empty if there is none.
+        """``(path, length, modified)`` of all of a layer's files, paths relative to it and sorted; empty if there is none.
 
-        Spark hides names that start with an underscore, so the manifests are named as a second root.
+        Spark lists what it shows in parallel. Names that start with an underscore or a dot, which it hides, are found by
+        the file system: hidden folders are then listed as further roots, hidden files added one by one.
         """
         base = self.path(layer)
-        roots = [root for root in (base, self.path(layer, MANIFESTS)) if exists(self.spark, root)]
-        if not roots:
-            return self.spark.createDataFrame([], "path string, length bigint, modified timestamp")
+        listing = self.spark.createDataFrame([], "path string, length bigint, modified timestamp")
+        if not exists(self.spark, base):
+            return listing
         root = qualified(self.spark, base)
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+        folders, files = _hidden(self.spark, base)
+        for roots in ([base], folders):
+            if roots:
+                shown = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+                listing = listing.union(shown.select("path", "length", F.col("modificationTime")))
+        if files:
+            hidden = self.spark.createDataFrame(files, "path string, length bigint, millis bigint")
+            listing = listing.union(hidden.select("path", "length", F.timestamp_millis("millis")))
         return (
-            files.select(
-                F.expr(f"substring(path, {len(root) + 2})").alias("path"),
-                "length",
-                F.col("modificationTime").alias("modified"),
-            )
+            listing.withColumn("path", F.expr(f"substring(path, {len(root) + 2})"))
             .where(F.col("path").startswith(prefix))
             .orderBy("path")
         )
 
 
+_DEPTH = 8  # folders below a layer in which hidden names are looked for
+
+
+def _hidden(spark: SparkSession, base: str) -> tuple[list[str], list[tuple[str, int, int]]]:
+    """Folders and files below a path whose own names Spark hides; few, as a run table has one or two."""
+    system = _file_system(spark, _hadoop_path(spark, base))
+    folders, files = [], []
+    for depth in range(_DEPTH):
+        for status in system.globStatus(_hadoop_path(spark, f"{base}/{'*/' * depth}[._]*")) or []:
+            path = status.getPath().toString()
+            if status.isDirectory():
+                folders.append(path)
+            else:
+                files.append((path, status.getLen(), status.getModificationTime()))
+    return folders, files
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_MADE: ContextVar[list[str] | None] = ContextVar("scratch paths of the innermost scope", default=None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -28,4 +33,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; nothing else writes to it."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def staged(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written to a scratch path and read back: run once, pruned by column, of known size."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end or after a failure, every scratch path made inside."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

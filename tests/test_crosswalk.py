@@ -19,29 +19,31 @@ def test_schema_is_exact(raw):
     for study, frame in raw.items():
         out = harmonize(frame, get_mapping(study))
         assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in CANONICAL_SCHEMA]
-        assert out.count() == 3
+        assert out.count() == frame.count()
 
 
 def test_fields_read_as_expected(raw):
     a, b, c = (harmonize(raw[s], get_mapping(s)) for s in ("GSE5281", "GSE33000", "GSE125583"))
-    assert column(a, "apoe_genotype") == ["E3/E4", "E3/E3", "E4/E4"]
-    assert column(a, "braak_stage") == [None] * 3 and column(a, "cerad_score") == [None] * 3
+    assert column(a, "apoe_genotype") == ["E2/E3", "E4/E4", "E3/E3", "E2/E4"]
+    assert column(a, "braak_stage") == [None] * 4 and column(a, "cerad_score") == [None] * 4
     assert set(column(a, "platform")) == {"Affymetrix HG-U133 Plus 2.0"}
-    assert column(b, "sex") == ["M", "F", "M"]
-    assert column(b, "braak_stage") == [6, 1, 4]
-    assert column(b, "age_years") == [90.0, 68.0, 77.0]
-    assert column(b, "age_censored") == [True, False, False]
+    assert column(a, "brain_region")[0] == "superior frontal gyrus"
+    assert column(a, "age_years") == [88.0, 71.0, 66.0, 90.0]
+    assert column(b, "sex") == ["F", "F", "M"]
+    assert column(b, "braak_stage") == [2, 5, 3]
+    assert column(b, "age_years") == [85.0, 90.0, 64.0]
+    assert column(b, "age_censored") == [False, True, False]
     assert set(column(b, "source_study")) == {"GSE33000"}
-    assert column(c, "cerad_score") == [3, 0, 1]
-    assert column(c, "age_years") == [81.0, 90.0, 66.0]
-    assert column(c, "age_censored") == [False, True, False]
-    assert column(c, "pmi_hours") == [3.5, 5.0, 9.0]
+    assert column(c, "cerad_score") == [3, 0, 2, 1, 0]
+    assert column(c, "age_years") == [70.0, 83.0, 90.0, 59.0, 77.0]
+    assert column(c, "age_censored") == [False, False, True, False, False]
+    assert column(c, "pmi_hours") == [2.0, 6.5, 11.0, 3.25, 8.0]
 
 
 def test_union_agrees_across_studies(spark, raw):
     union = harmonize_many(spark, raw, MAPPINGS)
     counts = {row["diagnosis"]: row["count"] for row in union.groupBy("diagnosis").count().collect()}
-    assert counts == {"AD": 5, "CONTROL": 3, "MCI": 1}
+    assert counts == {"AD": 5, "CONTROL": 4, "MCI": 3}
     assert {row[0] for row in union.select("source_study").distinct().collect()} == set(RAW)
 
 
@@ -51,18 +53,18 @@ def test_union_of_nothing_is_typed(spark):
 
 
 def test_union_needs_every_crosswalk(spark, raw):
-    with pytest.raises(KeyError, match="GSE999999"):
-        harmonize_many(spark, {**raw, "GSE999999": raw["GSE5281"]}, MAPPINGS)
+    with pytest.raises(KeyError, match="STUDY-X"):
+        harmonize_many(spark, {**raw, "STUDY-X": raw["GSE5281"]}, MAPPINGS)
     with pytest.raises(KeyError, match="Known studies"):
-        get_mapping("GSE000000")
+        get_mapping("STUDY-Y")
 
 
 def test_missing_columns_give_typed_nulls(raw):
-    frame = raw["GSE5281"].withColumnsRenamed({"age": "age_yrs", "sex": "gender", "disease_state": "dx"})
+    frame = raw["GSE5281"].withColumnsRenamed({"age": "age_raw", "sex": "reported", "disease_state": "status"})
     out = harmonize(frame, get_mapping("GSE5281"))
-    assert column(out, "age_years") == [None] * 3
-    assert column(out, "age_censored") == [False] * 3
-    assert column(out, "sex") == [None] * 3 and column(out, "diagnosis") == [None] * 3
+    assert column(out, "age_years") == [None] * 4
+    assert column(out, "age_censored") == [False] * 4
+    assert column(out, "sex") == [None] * 4 and column(out, "diagnosis") == [None] * 4
 
 
 def test_constants_win_and_stamps_cannot_be_mapped(raw):
@@ -73,7 +75,7 @@ def test_constants_win_and_stamps_cannot_be_mapped(raw):
     )
     row = harmonize(raw["GSE5281"], mapping).orderBy("sample_id").first()
     assert (row.sex, row.age_years, row.age_censored, row.source_study) == ("Kept As Is", 95.0, False, "X")
-    assert (row.rin, row.batch) == (7.0, "S01")
+    assert (row.rin, row.batch) == (7.0, "K7")
 
 
 def test_names_spark_would_confuse(spark):
@@ -87,9 +89,9 @@ def test_names_spark_would_confuse(spark):
 def test_audit(raw):
     mapping = get_mapping("GSE5281")
     assert audit_mapping(raw["GSE5281"], mapping).is_complete
-    audit = audit_mapping(raw["GSE5281"].withColumnRenamed("age", "age_yrs"), mapping)
+    audit = audit_mapping(raw["GSE5281"].withColumnRenamed("age", "age_raw"), mapping)
     assert not audit.is_complete
-    assert audit.missing == ("age",) and audit.unmapped == ("age_yrs",)
+    assert audit.missing == ("age",) and audit.unmapped == ("age_raw",)
     assert audit.summary() == "GSE5281: 6 mapped, 1 missing ['age'], 1 source columns unused"
 
 
@@ -97,7 +99,7 @@ def test_catalogue_audit_agrees_with_the_single_one(spark, raw):
     raw["GSE33000"] = raw["GSE33000"].withColumnRenamed("pmi", "post mortem").withColumnRenamed("dx", "DX")
     mappings = MAPPINGS | {"Q": SourceMapping("Q", {"sex": "donor's sex", "rin": "r\"i'n", "batch": 'b"'})}
     raw["Q"] = raw["GSE5281"]
-    audits = audit_deliveries(delivered_columns(raw), expected_columns(spark, mappings.values())).collect()
+    audits = audit_deliveries(delivered_columns(spark, raw), expected_columns(spark, mappings.values())).collect()
     assert len(audits) == 4
     for row in audits:
         single = audit_mapping(raw[row.study_id], mappings[row.study_id])
@@ -110,6 +112,16 @@ def test_catalogue_audit_agrees_with_the_single_one(spark, raw):
         )
 
 
+def test_header_counts_without_rows(spark, raw):
+    headers = {study: frame.where("false") for study, frame in raw.items()}
+    audits = audit_deliveries(delivered_columns(spark, headers), expected_columns(spark, MAPPINGS.values()))
+    assert {row.study_id: row.is_complete for row in audits.collect()} == dict.fromkeys(MAPPINGS, True)
+    nothing = audit_deliveries(delivered_columns(spark, {}), expected_columns(spark, MAPPINGS.values()))
+    assert {row.study_id: len(row.missing) for row in nothing.collect()} == {
+        study: len(mapping.field_map) for study, mapping in MAPPINGS.items()
+    }
+
+
 def test_uncovered_studies(spark):
     sources = spark.createDataFrame([("A",), ("B",), ("B",), ("C",)], "study_id string")
     known = spark.createDataFrame([("A",), ("D",)], "study_id string")
@@ -142,5 +154,5 @@ def test_regexes_are_not_copied_into_branches(spark, tmp_path):
 def test_harmonized_tables_can_meet_themselves(raw):
     """The fences' row counts are named per table, so joins and unions of one table with itself stay legal."""
     out = harmonize(raw["GSE5281"], get_mapping("GSE5281"))
-    assert out.alias("a").join(out.alias("b"), "sample_id").count() == 3
-    assert out.unionByName(out.where("sex = 'M'")).count() == 5
+    assert out.alias("a").join(out.alias("b"), "sample_id").count() == 4
+    assert out.unionByName(out.where("sex = 'M'")).count() == 6

@@ -43,6 +43,25 @@ def test_short_rows_fill_and_blank_lines_skip(spark, tmp_path):
         assert read(spark, str(tmp_path / "a.csv"), multiline=multiline)[1] == [("1", "", ""), ("x,y", "2", "")]
 
 
+@pytest.mark.parametrize("blank", ["\t", " \t ", "\x0b", "", "\x1f"])
+def test_blank_lines_do_not_depend_on_the_reader(spark, tmp_path, blank):
+    (tmp_path / "a.csv").write_text(f"a,b\n1,2\n{blank}\n3,4\n")
+    (tmp_path / "b.csv").write_text(f'a,b\n1,2\n{blank}\n3,"4\n4"\n')
+    assert read(spark, str(tmp_path / "a.csv"))[1] == [("1", "2"), ("3", "4")]
+    assert read(spark, str(tmp_path / "b.csv"))[1] == [("1", "2"), ("3", "4\n4")]
+
+
+@pytest.mark.parametrize("multiline", [None, False, True])
+def test_headers_must_agree(spark, tmp_path, multiline):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.csv").write_text("id,sex,age\na,F,70\n")
+    (tmp_path / "d" / "2.csv").write_text("\nid,sex,age\r\nb,M,71\r\n")
+    assert read(spark, str(tmp_path / "d"), multiline=multiline)[1] == [("a", "F", "70"), ("b", "M", "71")]
+    (tmp_path / "d" / "3.csv").write_text("id,age,sex\nc,72,M\n")
+    with pytest.raises(ValueError, match="different headers"):
+        read_delimited(spark, str(tmp_path / "d"), multiline)
+
+
 @pytest.mark.parametrize("multiline", [False, True])
 def test_long_rows_stop_the_job(spark, tmp_path, multiline):
     (tmp_path / "a.csv").write_text('a,b\n1,2\n3,"4,4",5\n')

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import normalizers as N
 from cohortloom.functions import text
 
+# The spellings that are accepted and what they mean. Free texts are made up.
 UNKNOWN_AGE = (None, False)
 CAPPED = (90.0, True)
 
@@ -34,7 +35,7 @@ VECTORS = {
         {
             "M": ["M", "m", "male", "Male", "MALE", "1", "man", "xy", " xy ", "male..", "M."],
             "F": ["F", "f", "female", "Female.", "2", "woman", " XX"],
-            "unknown": [None, "", "NA", "other", "intersex", "9", "1.0", "male .", "."],
+            "unknown": [None, "", "NA", "other", "not recorded", "9", "1.0", "male .", "."],
         },
     ),
     "diagnosis": (
@@ -45,9 +46,9 @@ VECTORS = {
             "MCI": ["MCI", "mci", "mild cognitive impairment", "Mild  Cognitive Impairment", "no cognitive impairment"]
             + ["ci", "definite mci"],
             "CONTROL": ["control", "Control", "CTRL", "normal", "non-demented", "cognitively normal", "NC"]
-            + ["healthy control", "advanced pathology, no dementia", "cognitively unimpaired", "possible hc"],
-            "OTHER": ["frontotemporal dementia", "Lewy body dementia", "vascular dementia", "subject withdrew"]
-            + ["PSP progressive supranuclear palsy", "non demented", "MCI due to AD", "sporadic AD", "probable AD."]
+            + ["healthy control", "amyloid seen, no dementia", "cognitively unimpaired", "possible hc"],
+            "OTHER": ["frontotemporal dementia", "Lewy body dementia", "vascular dementia", "lost to follow-up"]
+            + ["CBD corticobasal syndrome", "progressive supranuclear palsy", "non demented", "MCI due to AD", "sporadic AD", "probable AD."]
             + ["dementia", "parkinson", "n'a", "probable probable ad", "probable"],
             "UNKNOWN": [None, "NA", "", " Unknown "],
         },
@@ -101,7 +102,7 @@ VECTORS = {
             "E2/E3": ["23", "32"],
             "E4/E4": ["44"],
             "E2/E2": ["2 2"],
-            None: [None, "NA", "E4 carrier", "unknown", "3", "234", "apoe4", ""],
+            None: [None, "NA", "carrier of E4", "unknown", "3", "234", "apoe4", ""],
         },
     ),
     "float": (
@@ -150,5 +151,20 @@ def test_normalize_columns_in_place(spark):
     out = frame.transform(N.normalize_columns({"age": "age", "Sex": "sex", "apoe": "apoe"}))
     assert out.columns == ["id.x", "age", "age_censored", "Sex", "apoe"]
     assert tuple(out.first()) == ("k", 90.0, True, "F", "E3/E4")
+    cold = frame.transform(N.normalize_columns({"age": "age"}, where="Sex = 'M'"))
+    assert cold.columns == ["id.x", "age", "age_censored", "Sex", "apoe"] and cold.count() == 0
     with pytest.raises(KeyError, match="nope"):
         frame.transform(N.normalize_columns({"nope": "age"}))
+
+
+def test_filters_on_other_columns_reach_the_scan(spark, tmp_path):
+    rows = [(str(k), f"{40 + k}", "F", k % 3) for k in range(9)]
+    frame = spark.createDataFrame(rows, "id string, age string, sex string, day int")
+    frame.write.partitionBy("day").parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    kept = table.transform(N.normalize_columns({"age": "age", "sex": "sex"}, where="day = 1 AND id = '4'"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "EqualTo(id,4)" in plan
+    assert [(r.id, r.age, r.day) for r in kept.collect()] == [("4", 44.0, 1)]
+    plan = kept.where("sex = 'F' AND age > 1")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("older") == 1

@@ -9,9 +9,10 @@ import pytest
 from conftest import FILES, RAW, write_csv
 from pyspark.sql import functions as F
 
-from cohortloom import QualityGateError, enforce_gate, run_all, run_study
+from cohortloom import QualityGateError, SourceMapping, enforce_gate, run_all, run_study
 from cohortloom.schema import CANONICAL_COLUMNS, QUARANTINE_SCHEMA, SILVER_SCHEMA
 from cohortloom.sources.lake import BRONZE, QUARANTINE, SILVER, Lake, exists
+from cohortloom.sources.scratch import ensure_checkpoint_dir
 
 MANIFEST_FIELDS = 13
 
@@ -27,16 +28,24 @@ def duplicates(**changes):
 
 def test_study_run(lake):
     frame, summary = run_study(lake, "GSE5281", FILES["GSE5281"])
-    assert frame.count() == 3 and tuple(frame.columns) == CANONICAL_COLUMNS
+    assert frame.count() == 4 and tuple(frame.columns) == CANONICAL_COLUMNS
     assert summary == "GSE5281: 7 mapped, 0 missing [], 0 source columns unused"
-    bronze(lake, "z.csv", **(RAW["GSE5281"] | {"geo_accession": ["0012", "0013", "0014"]}))
+    bronze(lake, "z.csv", **(RAW["GSE5281"] | {"geo_accession": ["0012", "0013", "0014", "0015"]}))
     frame, _ = run_study(lake, "GSE5281", "z.csv")
-    assert sorted(row.sample_id for row in frame.collect()) == ["0012", "0013", "0014"]
+    assert sorted(row.sample_id for row in frame.collect()) == ["0012", "0013", "0014", "0015"]
+
+
+def test_study_run_with_another_mapping(lake):
+    mapping = SourceMapping("OWN", {"sample_id": "subject", "rin": "no such"}, {"platform": "P"}, "notes")
+    frame, summary = run_study(lake, "GSE5281", FILES["GSE5281"], mapping)
+    assert sorted(row.sample_id for row in frame.collect()) == ["K10", "K7", "K8", "K9"]
+    assert {(row.source_study, row.platform, row.sex) for row in frame.collect()} == {("OWN", "P", None)}
+    assert summary == "OWN: 1 mapped, 1 missing ['no such'], 6 source columns unused"
 
 
 def test_full_run(lake, spark):
     manifest = run_all(lake, FILES, run_id="0012")
-    assert (manifest.rows_in, manifest.rows_clean, manifest.rows_quarantined) == (9, 9, 0)
+    assert (manifest.rows_in, manifest.rows_clean, manifest.rows_quarantined) == (12, 12, 0)
     assert manifest.studies == sorted(FILES) and "run_id=0012" in manifest.silver_path
     assert manifest.quarantine_path is None and manifest.pass_rate == 1.0
     assert manifest.rule_counts["degraded_rna"] == 1 and sum(manifest.rule_counts.values()) == 1
@@ -102,24 +111,54 @@ def test_listing(lake, spark, tmp_path):
     assert [row.path for row in lake.list_files(BRONZE, "GSE5").collect()] == [FILES["GSE5281"]]
     assert Lake.at(spark, str(tmp_path / "no")).list_files(BRONZE).collect() == []
     run_all(lake, FILES, run_id="r")
-    paths = [row.path for row in lake.list_files(SILVER).collect()]
-    assert paths == sorted(paths)
+    base = Path(lake.path(SILVER))
+    here = [p for p in base.rglob("*") if p.is_file() and not p.name.endswith(".crc")]
+    rows = lake.list_files(SILVER).collect()
+    assert [(r.path, r.length) for r in rows] == sorted((str(p.relative_to(base)), p.stat().st_size) for p in here)
+    paths = [row.path for row in rows]
+    assert {"_manifests/run_id=r/_SUCCESS", "samples/run_id=r/_SUCCESS"} <= set(paths)
     assert {path.rsplit("/", 1)[0] for path in paths} == {"_manifests/run_id=r", "samples/run_id=r"}
     assert len(lake.list_files(SILVER, "samples/run").collect()) == sum(path.startswith("samples") for path in paths)
 
 
+def test_hidden_names_are_listed_once(lake):
+    base = Path(lake.path(BRONZE))
+    for name in ("_a/x.txt", "_a/_b/y.txt", "_a/_b/.z", "c/_d/.e/f", "c/_g", ".h"):
+        (base / name).parent.mkdir(parents=True, exist_ok=True)
+        (base / name).write_text(name)
+    here = sorted(str(p.relative_to(base)) for p in base.rglob("*") if p.is_file())
+    assert [row.path for row in lake.list_files(BRONZE).collect()] == here
+
+
 def test_account_paths(spark):
     lake = Lake.in_account(spark, "https://acct.dfs.core.windows.net/")
     assert lake.path(BRONZE, "a.csv") == "abfss://bronze@acct.dfs.core.windows.net/a.csv"
 
 
-def test_scratch_is_emptied(lake, spark):
-    from cohortloom.sources.scratch import ensure_checkpoint_dir
-
-    run_all(lake, FILES, run_id="tidy")
+def scratch_names(spark) -> set[str]:
     root = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
-    names = [s.getPath().getName() for s in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
-    assert not [name for name in names if name.startswith("harmonized-tidy")]
+    return {s.getPath().getName() for s in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)}
+
+
+def test_scratch_is_emptied(lake, spark, monkeypatch):
+    bronze(lake, "lines.csv", **duplicates(tissue=["two\nlines", "one", "one"]))
+    before = scratch_names(spark)
+    run_all(lake, FILES | {"GSE33000": "lines.csv"}, run_id="tidy")
+    assert scratch_names(spark) == before
+    monkeypatch.setattr("cohortloom.plans.run.summarize", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_all(lake, FILES, run_id="broken")
+    assert scratch_names(spark) == before
+
+
+def test_lost_counts_stop_the_run(lake, spark, monkeypatch):
+    bronze(lake, "dupes.csv", **duplicates())
+    first = run_all(lake, {"GSE33000": "dupes.csv"}, run_id="r")
+    monkeypatch.setattr("cohortloom.plans.run.Observation.get", property(lambda self: {}))
+    with pytest.raises(RuntimeError, match="3 rows staged, but none counted"):
+        run_all(lake, {"GSE33000": "dupes.csv"}, run_id="r")
+    assert spark.read.parquet(first.quarantine_path).count() == 2
+    assert run_all(lake, {}, run_id="none").rows_in == 0
 
 
 def test_counts_come_from_the_write(lake, spark):

@@ -74,6 +74,15 @@ def test_every_case(spark):
     assert all(counts.values()), "a rule is never exercised"
 
 
+def test_one_pass_gives_both_tables(spark):
+    report = validate(batch(spark, *(case[0] for case in CASES)))
+    rows = report.routed().collect()
+    got = sorted((r.sample_id or "", r.detail) for r in rows if not r.is_clean)
+    assert got == sorted((r.sample_id or "", r.quarantine_reason) for r in report.quarantined.collect())
+    got = sorted((r.sample_id or "", r.detail) for r in rows if r.is_clean)
+    assert got == sorted((r.sample_id or "", r.quality_flags) for r in report.clean.collect())
+
+
 def test_tables_keep_their_columns(spark):
     report = validate(batch(spark, {}))
     assert report.clean.columns == [*CANONICAL_COLUMNS, "quality_flags"]
@@ -136,6 +145,6 @@ def test_absent_columns(spark, absent):
 
 def test_fixtures_pass(spark, raw):
     report = validate(harmonize_many(spark, raw, MAPPINGS))
-    assert report.total == 9 and report.quarantined.count() == 0
+    assert report.total == 12 and report.quarantined.count() == 0
     flagged = report.clean.where(F.array_contains(F.split("quality_flags", ";"), "degraded_rna"))
-    assert [row.sample_id for row in flagged.collect()] == ["TCX_03"]
+    assert [row.sample_id for row in flagged.collect()] == ["FUS_04"]
