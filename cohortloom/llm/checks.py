@@ -44,12 +44,12 @@ WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ), grams AS (
-  SELECT doc_id, at, array_to_string(words[at : at + 4], ' ') AS gram
-  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS at FROM d)
+  SELECT doc_id, i, array_to_string(words[i : i + 4], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM d)
 ), twice AS (
-  SELECT doc_id, at FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM grams) WHERE times > 1
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM grams) WHERE times > 1
 ), covered AS (
-  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(at, at + 5)) AS p FROM twice) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id
 ), lines AS (
   SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
