@@ -5,13 +5,19 @@ too long stop the job: a field without a column means the row was not understood
 
 Spark reads a file with quoted line breaks in one task (``multiLine``). :func:`read_delimited` first checks, line by
 line and in parallel, whether any quoted cell runs over a line end. If none does, every split is read on its own. If
-some do, lines are joined to records as a Spark job. Each line is described by the state it ends in, inside a quoted
-cell or outside, for either state it may start in; chaining these, per file block and then over the blocks, tells which
-lines belong together. A task handles one block at a time, never a file.
+some do, lines are joined to records, still split by split. Each line is described by the state it ends in, inside a
+quoted cell or outside, for either state it may start in; chaining these, first within a file block and then over the
+blocks of a file, tells how each block starts. Then every block is read in place: its whole records are joined as they
+stream by, and only the two pieces of a record that a block's edge cuts are shuffled to meet.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
@@ -180,74 +186,145 @@ def _joined_rows(spark: SparkSession, path: str, width: int) -> DataFrame:
 
 def _records(spark: SparkSession, path: str) -> DataFrame:
     """One text per record, without the header. A record's lines are joined again by the line break they had."""
-    in_block = Window.partitionBy("file", "block")
-    ordered = in_block.orderBy("position")
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("position"),  # rising within a block, which is all it is used for
-            F.col("value"),
-            _ends_open(F.col("value")).alias("from_out"),
-            _stays_open(F.col("value")).alias("from_in"),
-        )
+    lines = _described_lines(spark, path)
+    outcomes = lines.select("file", "block", "from_out", "from_in").mapInArrow(_block_outcomes, _OUTCOME)
+    starts = _starting_inside(spark, path, staged(outcomes, "csv-blocks"))
+    # At most a row of three numbers for each block of the input.
+    placed = lines.join(F.broadcast(starts), ["file", "block"], "left").select(
+        "file", "block", F.coalesce("inside", F.lit(False)).alias("inside"), "value", "from_out", "from_in"
     )
-    lines = _with_states(lines, ordered, if_out=False, if_in=True)
-    blocks = _placed_blocks(staged(_block_outcomes(lines), "csv-blocks"))
-
-    # The windows and the join share one exchange; a group is one block of a file.
-    is_text = _has_text(F.col("value"))
-    first_text = F.min(F.when(is_text, F.col("position"))).over(in_block)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opens = ~F.col("inside") & F.col("from_out")
-    numbered = (
-        lines.join(blocks.hint("merge"), ["file", "block"])
-        .withColumn("inside", F.when(F.col("starts_inside"), F.col("if_in")).otherwise(F.col("if_out")))
-        .withColumn("cell", F.col("cells_before") + F.count_if(opens).over(so_far))
-        .withColumn("is_header", (F.col("block") == 0) & (first_text == F.col("position")))
-        .withColumn("is_part", F.col("inside") | F.col("from_out"))
-    )
-    single = numbered.where(~F.col("is_part") & is_text & ~F.col("is_header")).select(F.col("value").alias("record"))
-    parts = F.array_sort(F.collect_list(F.struct("block", "position", "value")))  # the lines of one record
-    several = (
-        numbered.where("is_part")
-        .groupBy("file", "cell")
+    pieces = placed.mapInArrow(_assembled, _PIECE)
+    whole = pieces.where("part IS NULL").select("record")
+
+    cut = staged(pieces.where("part IS NOT NULL"), "csv-edges")
+    so_far = Window.partitionBy("file").orderBy("block", "part")
+    numbered = cut.withColumn("cell", F.count_if(F.col("part") == _TAIL).over(so_far))
+    parts = F.array_sort(F.collect_list(F.struct("block", "part", "record")))  # the pieces of one record
+    mended = (
+        numbered.groupBy("file", "cell")
         .agg(parts.alias("parts"), F.max("is_header").alias("is_header"))
         .where(~F.col("is_header"))
-        .select(F.array_join(F.transform("parts", lambda part: part["value"]), "\n").alias("record"))
+        .select(F.array_join(F.transform("parts", lambda part: part["record"]), "\n").alias("record"))
     )
-    return single.unionByName(several).select(F.regexp_replace("record", r"\r\z", "").alias("record"))
-
+    return whole.unionByName(mended).select(F.regexp_replace("record", r"\r\z", "").alias("record"))
 
-def _block_outcomes(lines: DataFrame) -> DataFrame:
-    """Per file block, for either state it may start in: the state it ends in and the cells that open in it."""
 
-    def end(state: str) -> Column:
-        return F.max_by(F.when(F.col(state), F.col("from_in")).otherwise(F.col("from_out")), "position")
+_OUTCOME = "file long, block long, from_out boolean, from_in boolean"
+_PIECE = "file long, block long, part int, is_header boolean, record string"
+# The end of a record that an earlier block began, and the beginning of one that goes on in a later block.
+_HEAD, _TAIL = 0, 1
 
-    def opened(state: str) -> Column:
-        return F.count_if(~F.col(state) & F.col("from_out"))
 
-    return lines.groupBy("file", "block").agg(
-        end("if_out").alias("from_out"),
-        end("if_in").alias("from_in"),
-        opened("if_out").alias("cells_from_out"),
-        opened("if_in").alias("cells_from_in"),
+def _described_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line, in file order within its task, with its file as a number, its block and its two outcomes."""
+    line = F.col("value")
+    quoted = line.contains('"')
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            F.xxhash64("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            line,
+            (quoted & _ends_open(line)).alias("from_out"),
+            (~quoted | _stays_open(line)).alias("from_in"),
+        )
     )
 
 
-def _placed_blocks(outcomes: DataFrame) -> DataFrame:
-    """Per file block: whether it starts inside a cell, and how many cells opened in the file before it."""
+def _starting_inside(spark: SparkSession, path: str, outcomes: DataFrame) -> DataFrame:
+    """``(file, block, inside)`` of the blocks that start inside a cell."""
     by_block = Window.partitionBy("file").orderBy("block")
-    placed = _with_states(outcomes, by_block, starts_inside=False)
-    inside = F.col("starts_inside")
-    ends_inside = F.when(inside, F.col("from_in")).otherwise(F.col("from_out"))
+    placed = _with_states(outcomes, by_block, inside=False)
+    ends_inside = F.when(F.col("inside"), F.col("from_in")).otherwise(F.col("from_out"))
     open_files = placed.groupBy("file").agg(F.max_by(ends_inside, "block").alias("open")).where("open")
     unclosed = open_files.first()
     if unclosed:
-        raise ValueError(f"A quoted cell is never closed in {unclosed['file']}")
-    cells = F.when(inside, F.col("cells_from_in")).otherwise(F.col("cells_from_out"))
-    before = F.sum(cells).over(by_block.rowsBetween(Window.unboundedPreceding, -1))
-    return placed.select("file", "block", "starts_inside", F.coalesce(before, F.lit(0)).alias("cells_before"))
+        names = spark.read.text(path).select("_metadata.file_path").where(F.xxhash64("file_path") == unclosed["file"])
+        raise ValueError(f"A quoted cell is never closed in {names.first()[0]}")
+    return placed.where("inside").select("file", "block", "inside")
+
+
+def _block_outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per file block, for either state it may start in, the state it ends in."""
+    places, ends = [], []
+    for key, rows in _blocks(batches):
+        from_out, from_in = (rows.column(name).to_numpy(zero_copy_only=False) for name in ("from_out", "from_in"))
+        if not places or places[-1] != key:
+            places.append(key)
+            ends.append((False, True))
+        ends[-1] = tuple(bool(_states(from_out, from_in, start)[-1]) for start in ends[-1])
+    columns = [pa.array([place[k] for place in places], pa.int64()) for k in (0, 1)]
+    columns += [pa.array([end[k] for end in ends], pa.bool_()) for k in (0, 1)]
+    yield pa.RecordBatch.from_arrays(columns, names=["file", "block", "from_out", "from_in"])
+
+
+def _states(from_out: np.ndarray, from_in: np.ndarray, start: bool) -> np.ndarray:
+    """The state before each line and, last, after all: what the last line that sets it left, swapped since."""
+    swaps = np.cumsum(from_out & ~from_in)
+    setting = np.maximum.accumulate(np.where(from_out == from_in, np.arange(len(from_out)), -1))
+    value = np.where(setting >= 0, from_out[setting], start)
+    swapped = (swaps - np.where(setting >= 0, swaps[setting], 0)) % 2 == 1
+    return np.concatenate([[start], value ^ swapped])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
+    """Each batch cut where another block begins; a block's rows come in order, maybe in several pieces."""
+    for batch in batches:
+        if batch.num_rows:
+            file, block = (batch.column(name).to_numpy() for name in ("file", "block"))
+            cuts = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+            for begin, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                yield (int(file[begin]), int(block[begin])), batch.slice(begin, end - begin)
+
+
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records as they stream by: whole ones, and the pieces at a block's edges. Blank lines outside cells go."""
+    key: tuple[int, int] | None = None
+    waiting: list[str] = []  # lines of a record that is still open
+    inside = is_head = wants_header = False
+    out: list[tuple] = []
+
+    def close(is_open: bool) -> None:
+        """The waiting lines are a record; ``is_open``: it goes on in the next block."""
+        nonlocal waiting, is_head, wants_header
+        text = "\n".join(waiting)
+        if is_head:
+            out.append((*key, _HEAD, False, text))
+        elif is_open or len(waiting) > 1 or not _BLANK(text):
+            if is_open:
+                out.append((*key, _TAIL, wants_header, text))
+            elif not wants_header:
+                out.append((*key, None, False, text))
+            wants_header = False
+        waiting, is_head = [], False
+
+    for place, rows in _blocks(batches):
+        if place != key:
+            if key is not None and waiting:
+                close(inside)
+            key, inside, wants_header = place, rows.column("inside")[0].as_py(), place[1] == 0
+            is_head = inside
+        from_out, from_in = (rows.column(name).to_numpy(zero_copy_only=False) for name in ("from_out", "from_in"))
+        states = _states(from_out, from_in, inside)
+        for line, goes_on in zip(rows.column("value").to_pylist(), states[:-1].tolist(), strict=True):
+            if waiting and not goes_on:
+                close(False)
+            waiting.append(line)
+        inside = bool(states[-1])
+        if len(out) >= 4096:
+            yield _piece_batch(out)
+            out = []
+    if waiting:
+        close(inside)
+    if out:
+        yield _piece_batch(out)
+
+
+_BLANK = re.compile(r"[\x00-\x20]*\Z").match
+
+
+def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
+    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=["file", "block", "part", "is_header", "record"])
