@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.functions.fence import fence
 from cohortloom.llm.frames import WHITE, named, unpacked, whole_row
 
 #: Frequent function words of English, French, German and Spanish prose.
@@ -98,8 +99,12 @@ def judged(
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that the rules keep, their columns as given."""
-    return judged(docs, text).where("kept").select(*unpacked(docs.columns))
+    """The documents that the rules keep, their columns as given.
+
+    The fence keeps the optimizer from rewriting the filter in terms of the text, with a copy of every count's expression
+    for each mention of it.
+    """
+    return fence(judged(docs, text).select("__row", "kept")).where("kept").select(*unpacked(docs.columns))
 
 
 def _windows(words: Column) -> Column:
