@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.sources.scratch import ensure_checkpoint_dir, scratch_path
+from cohortloom.sources.scratch import ensure_checkpoint_dir, scratch_path, staged
+
+__all__ = ["WHITE", "WORD", "cut", "named", "partitions", "scratch_path", "staged", "unpacked", "whole_row"]
 
 #: The white space of all contracts: space, and tab to carriage return.
 WHITE = " \t\n\x0b\f\r"
@@ -31,13 +33,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def staged(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared scratch folder and read back: run once, pruned by column, of known size."""
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
 def cut(frame: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder; Spark removes it when nothing refers to it any more."""
     ensure_checkpoint_dir(frame.sparkSession)

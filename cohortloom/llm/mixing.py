@@ -130,11 +130,13 @@ def _cuts(rows: DataFrame, need: DataFrame) -> DataFrame:
     open_rows = rows.where("chance > 0").select("key", "size", "rank", "cell")
     outer = F.floor(F.col("cell") / _SIDE).cast("long")
     coarse = _crossing(open_rows.groupBy("key", outer.alias("at")).agg(F.sum("size").alias("words")), need)
-    coarse = coarse.withColumnRenamed("at", "outer")
+    # One row a source each; written, so that their size is known and documents are not shuffled to meet them.
+    coarse = staged(coarse.withColumnRenamed("at", "outer"), "mix-coarse")
     inside = open_rows.join(coarse, "key").where(outer == F.col("outer"))
     fine = _crossing(
         inside.groupBy("key", F.col("cell").alias("at")).agg(F.sum("size").alias("words")), coarse.select("key", "need")
     )
+    fine = staged(fine, "mix-fine")
     last = open_rows.join(fine, "key").where("cell = at")
     filled = F.sum("size").over(Window.partitionBy("key").orderBy("rank"))  # rows of one rank count together
     tried = last.withColumn("filled", filled).select(
@@ -147,6 +149,7 @@ def _cuts(rows: DataFrame, need: DataFrame) -> DataFrame:
         F.coalesce("end.rank", F.lit(-1.0)).alias("cut"),
         (F.col("need") - F.coalesce("end.filled", F.lit(0))).alias("left"),
     )
+    cuts = staged(cuts, "mix-ends")
     # The last place of a source goes to the document beyond the cut that fills the words left open best.
     beyond = open_rows.join(cuts, "key").where(~_below_cut())
     off = F.abs(F.col("left") - F.col("size"))

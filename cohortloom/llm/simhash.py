@@ -106,6 +106,8 @@ def near_duplicates(
     named_prints = distinct.join(of_print, "fingerprint", "left").select(
         F.col("fingerprint").alias("__print"), F.coalesce("component_id", "first").alias("__component")
     )
+    # A plain join of two tables, so that a fingerprint of very many copies can be split.
+    named_prints = staged(named_prints, "named-prints")
     return prints.join(named_prints, prints["fingerprint"] == named_prints["__print"], "left").select(
         "doc_id", "fingerprint", F.when(F.col("doc_id").isNotNull(), F.col("__component")).alias("component_id")
     )
