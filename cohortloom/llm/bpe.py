@@ -37,17 +37,21 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers  # noqa: E402
 
-#: Entries that a worker keeps of each kind; about 200 bytes an entry.
-CACHE = 400_000
+#: Words, and pieces of words, that a worker remembers; about 200 bytes each.
+CACHE = 150_000
 SLICE = 256
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """``path``: a rank file (``*.tiktoken``) or a tokenizer file (``*.json``). ``pattern``: how texts are split."""
+    """``path``: a rank file (``*.tiktoken``) or a tokenizer file (``*.json``). ``pattern``: how texts are split.
+
+    ``cache``: words, and pieces of words, that a worker remembers; it costs memory and saves time, never a result.
+    """
 
     path: str
     pattern: str
+    cache: int = CACHE
 
 
 def byte_characters() -> list[str]:
@@ -168,7 +172,7 @@ def codec(vocabulary: Vocabulary) -> Codec:
     """The worker's codec; workers are reused, so it outlives a task."""
     ranks = vocabulary.path.endswith(".tiktoken")
     tokenizer = from_ranks(vocabulary.path, vocabulary.pattern) if ranks else from_file(vocabulary.path)
-    return Codec(tokenizer, vocabulary.pattern)
+    return Codec(tokenizer, vocabulary.pattern, vocabulary.cache)
 
 
 Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
