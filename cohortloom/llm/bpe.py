@@ -1,8 +1,9 @@
 """Byte-level BPE over Arrow batches with the ``tokenizers`` library, and back.
 
 The vocabulary is broadcast by path only: each Python worker opens the file once and keeps the tokenizer. A text is cut
-where the split pattern always cuts (before a space that a word follows), so equal words are encoded once per worker: two
-bounded dictionaries hold the ids of frequent words and pieces, the library encodes what they lack. Nothing is shuffled;
+where the split pattern always cuts (before a space that a word follows), so equal words are encoded once per worker: Arrow
+finds the distinct words of some texts, two bounded dictionaries hold the ids of frequent words and pieces, the library
+encodes what they lack. Nothing is shuffled;
 a task holds one Arrow batch.
 
 Byte-to-character mapping: byte-level tokens may begin or end inside a character. Offsets are therefore made from the
@@ -18,14 +19,17 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import json
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+import struct
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +43,8 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers  # noqa: E402
 
 #: Words, and pieces of words, that a worker remembers; about 200 bytes each.
 CACHE = 150_000
+#: Longer words, in characters, are not remembered, so that the dictionaries' bytes are bounded too.
+LONGEST = 100
 SLICE = 256
 
 
@@ -116,31 +122,40 @@ class Codec:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """First the words that the dictionary lacks, all at once, then each text by lookups."""
-        cut = [None if _ODD_SPACES(text) else text.split(" ") for text in texts]
-        fresh: set[str] = set()
-        for parts in cut:
-            if parts is not None:
-                fresh.update(parts[1:])
-        fresh.difference_update(self.words)
-        split = {word: self.split(" " + word) for word in fresh}
-        heads = [self.split(text if parts is None else parts[0]) for text, parts in zip(texts, cut, strict=True)]
-        known, known_now = self.pieces, self._learn([*split.values(), *heads])
-        found = {word: b"".join([known[p] for p in pieces]) for word, pieces in split.items()}
-        self.words.update(found)
+        """Distinct words are found by Arrow, those that the dictionary lacks are encoded at once, and texts are looked up."""
+        odd = [_ODD_SPACES(text) is not None for text in texts]
+        cut = pc.split_pattern(pa.array(["" if o else t for o, t in zip(odd, texts, strict=True)], pa.string()), pattern=" ")
+        starts, words = cut.offsets.to_numpy(), cut.flatten()
+        heads = words.take(pa.array(starts[:-1])).to_pylist()  # what stands before a text's first space
+        heads = [self.split(text if o else head) for o, text, head in zip(odd, texts, heads, strict=True)]
+        after = np.ones(len(words), bool)
+        after[starts[:-1]] = False
+        coded = words.filter(pa.array(after)).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        fresh = [word for word in distinct if word not in self.words]
+        # The pattern cuts before each word's space, and a word holds no other.
+        pieces = self.split(" " + " ".join(fresh)) if fresh else []
+        learned = self._learn([pieces, *heads])
+        begins = [k for k, piece in enumerate(pieces) if piece[0] == " "]
+        spans = zip(fresh, itertools.pairwise([*begins, len(pieces)]), strict=True)
+        known = self.pieces.__getitem__
+        self.words.update((word, b"".join(map(known, pieces[a:b]))) for word, (a, b) in spans)
+        ids, edges = _looked_up([self.words[word] for word in distinct], coded.indices.to_numpy())
+        edges = edges[starts - np.arange(len(starts))]  # each text has one head among its words
         encoded = [
-            b"".join([*map(known.__getitem__, head), *(map(self.words.__getitem__, parts[1:]) if parts else ())])
-            for head, parts in zip(heads, cut, strict=True)
+            b"".join(map(known, head)) + ids[a:b].tobytes()
+            for head, a, b in zip(heads, edges[:-1].tolist(), edges[1:].tolist(), strict=True)
         ]
-        _shrink(self.words, found, self.cache)
-        _shrink(self.pieces, known_now, self.cache)
+        _shrink(self.words, fresh, self.cache)
+        _shrink(self.pieces, learned, self.cache)
         return encoded
 
     def _learn(self, lists: list[list[str]]) -> list[str]:
         """Have the library encode the pieces that are not known yet, and return these."""
         fresh = list({piece for pieces in lists for piece in pieces}.difference(self.pieces))
         encodings = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False) if fresh else []
-        self.pieces.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(fresh, encodings, strict=True))
+        found = (encoding.ids for encoding in encodings)
+        self.pieces.update((p, struct.pack(f"<{len(ids)}I", *ids)) for p, ids in zip(fresh, found, strict=True))
         return fresh
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -156,10 +171,20 @@ class Codec:
         return character[starts].astype("int32"), (character[ends - 1] + 1).astype("int32")
 
 
-def _shrink(known: dict[str, bytes], fresh: Iterable[str], most: int) -> None:
-    """Forget what came last if there is too much; what came first is frequent."""
-    if len(known) > most:
-        for key in fresh:
+def _looked_up(values: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``values[at[0]], values[at[1]], ...`` in one array, and where each of these begins and ends in it."""
+    sizes = np.fromiter(map(len, values), "int64", len(values)) // 4
+    counts = sizes[at]
+    edges = np.concatenate([[0], np.cumsum(counts)])
+    begins = (np.cumsum(sizes) - sizes)[at] - edges[:-1]
+    return np.frombuffer(b"".join(values), "<u4")[np.repeat(begins, counts) + np.arange(edges[-1])], edges
+
+
+def _shrink(known: dict[str, bytes], fresh: list[str], most: int) -> None:
+    """Forget very long words, and what came last if there is too much; what came first is frequent."""
+    full = len(known) > most
+    for key in fresh:
+        if full or len(key) > LONGEST:
             del known[key]
 
 

@@ -27,7 +27,7 @@ from cohortloom.llm.checks import ORACLE_SQL
 from cohortloom.llm.frames import staged
 
 MULTILINGUAL = bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-ENGLISH = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, cache=800_000)
+ENGLISH = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, cache=400_000)
 
 TOXIC_FROM = 0.3
 
