@@ -7,7 +7,7 @@
    share a place go on to the next level) and, in its order, arrays of 64-bit fingerprints, counts and first documents.
 3. **Probes.** A document's keys go to their shard as rows of fixed width and are looked up there, all at once, in the
    arrays. Lines and texts are never joined. Keys frequent enough to weigh on a shard are few (at most ``4 * shards``);
-   they are broadcast instead, and looked up where the documents are.
+   they are written as a table of their own and joined, by a broadcast while their bytes allow it.
 4. **Texts.** Only documents that lose lines are split again, next to the keys they lose.
 
 Defined cases: a null text is one empty line, like an empty one; a null id counts as one document after all others; rows
@@ -167,8 +167,9 @@ def lost_keys(keys: DataFrame, shards: int | None = None) -> DataFrame:
     hot = max(256, rows // (4 * shards))
     shard = F.pmod(F.col("high"), F.lit(shards)).cast("int").alias("shard")
     index = staged(build_index(repeated.where(F.col("documents") < hot).select("*", shard)), "line-index")
-    # At most rows / hot <= 4 * shards keys.
-    frequent = F.broadcast(repeated.where(F.col("documents") >= hot).select("high", "low", "first"))
+    # At most rows / hot <= 4 * shards keys. Written, so that Spark knows their bytes: it broadcasts them up to its limit for
+    # that, and beyond it joins by key, where a skew join splits a key of very many rows.
+    frequent = staged(repeated.where(F.col("documents") >= hot).select("high", "low", "first"), "frequent-lines")
     marked = keys.join(frequent, ["high", "low"], "left")
     cold = marked.where("first IS NULL").select("doc", "content", "high", "low", shard)
     lost = marked.where("first != doc").select("doc", "content", "high", "low")
