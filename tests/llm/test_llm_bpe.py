@@ -79,3 +79,15 @@ def test_frames(spark):
 def test_unknown_ids_decode_to_nothing(spark):
     frame = spark.createDataFrame([(1, [-1, 10**6, None]), (2, None)], "doc_id long, ids array<int>")
     assert [bytes(r.raw) for r in bpe.decode(frame, ENGLISH).collect()] == [b"", b""]
+
+
+def test_lookups_equal_whole_texts_and_long_words_are_forgotten():
+    own = bpe.Codec(bpe.codec(ENGLISH).tokenizer, ENGLISH.pattern, cache=3)
+    long_word = "x" * 500
+    texts = ["", " ", "a", "a b  c", f"one {long_word} two", "don't stop\n now\t\there", "漢字 é 🙂", "end "]
+    expected = [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        found = [np.frombuffer(raw, "<u4").tolist() for raw in own.encode_all(texts)]
+        assert found == expected
+        assert len(own.words) <= 3 and long_word not in own.words
+    assert own.encode_all([]) == []
