@@ -75,4 +75,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_chat_format": CHAT, "op9_line_dedup": LINES, "op10_quality_rules": QUALITY}
+MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id::VARCHAR) AS h FROM documents
+), u AS (
+  SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units,
+    list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(h, k, 8))::BIGINT) AS hs FROM d
+), c AS (
+  SELECT *, len(units) AS n, least(hs[1] % (len(units) + 1), hs[2] % (len(units) + 1)) AS a,
+    greatest(hs[1] % (len(units) + 1), hs[2] % (len(units) + 1)) AS b,
+    CASE WHEN text = '' OR regexp_matches(text, '<P>|<S>|<M>') OR hs[3] % 100 >= 90 THEN 'plain'
+      WHEN hs[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+  SELECT *, array_to_string(units[1 : a], '') AS prefix, array_to_string(units[a + 1 : b], '') AS middle,
+    array_to_string(units[b + 1 :], '') AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+# Pages of the given tables mark their article and hold h1, p, b and br inside it.
+MAIN_TEXT = r"""
+WITH a AS (
+  SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'),
+    '</?(?:p|h1)>') AS blocks FROM pages
+), b AS (
+  SELECT page_id, url, list_transform(blocks, lambda x: trim(regexp_replace(replace(regexp_replace(regexp_replace(
+    regexp_replace(regexp_replace(replace(regexp_replace(x, '</?b>', '', 'g'), '<br>', ' '), '&lt;?', '<', 'g'), '&gt;?',
+    '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), chr(10), ' '), '\s+', ' ', 'g'))) AS blocks FROM a
+)
+SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)) AS text,
+  length(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10))) AS n_chars
+FROM b
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_format": CHAT,
+    "op9_line_dedup": LINES,
+    "op10_quality_rules": QUALITY,
+    "op11_fill_middle": MIDDLE,
+    "op13_main_text": MAIN_TEXT,
+}

@@ -26,7 +26,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in catalogue.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in catalogue.QUERIES}
     assert {*catalogue.QUERIES, "pipeline"} <= set(entry.queries())
 
 
