@@ -3,42 +3,55 @@
 Only an empty field is null; ``NA``, ``0012`` and the like stay text. Rows that are too short get nulls, rows that are
 too long stop the job: a field without a column means the row was not understood.
 
-Spark reads a file with quoted line breaks in one task (``multiLine``). :func:`read_delimited` first checks, line by
-line and in parallel, whether any quoted cell runs over a line end. If none does, every split is read on its own. If
-some do, lines are joined to records, still split by split. Each line is described by the state it ends in, inside a
-quoted cell or outside, for either state it may start in; chaining these, first within a file block and then over the
-blocks of a file, tells how each block starts. Then every block is read in place: its whole records are joined as they
-stream by, and only the two pieces of a record that a block's edge cuts are shuffled to meet.
+Spark reads a file with quoted line breaks in one task (``multiLine``). :func:`read_delimited` reads such files split by
+split, in two scans of their text. The first one is speculative: which state a block starts in, inside a quoted cell or
+outside, is only known when all blocks before it are, so each task follows its block from both states at once. It leaves a
+row for each block: the state the block ends in, and the pieces of a record that its edges cut, for either start. Chaining
+these rows over each file tells how every block starts, whether headers agree and whether any cell holds a line break at
+all; if none does, Spark's own reader takes the second scan. Otherwise that scan joins every block's whole records in
+place, while cut records are put together from the first scan's pieces. No line is shuffled.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
+from cohortloom.functions.fence import fence
 from cohortloom.sources.scratch import staged
 
 _CSV = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def read_delimited(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+#: Longer pieces of a record at a block's edge are not kept by the first scan but read again.
+EDGE_BYTES = 1 << 16
+#: Up to so many blocks that start inside a cell, at about 64 bytes each, are broadcast.
+BROADCAST_BLOCKS = 1 << 20
+
+
+def read_delimited(
+    spark: SparkSession, path: str, multiline: bool | None = None, edge_bytes: int = EDGE_BYTES
+) -> DataFrame:
     """Read a CSV file, or a folder of them that all have the same header; other folders are an error.
 
     ``multiline`` says whether quoted cells hold line breaks. Leave it open to have the files checked, which reads them
-    once more; set it per source where it is known.
+    once more; False, set per source where it is known, saves that.
     """
     names = _header(spark, path)
-    _check_headers(spark, path)
-    if multiline is None:
-        multiline = _has_open_lines(spark, path)
-    rows = _joined_rows(spark, path, len(names)) if multiline else _line_rows(spark, path, len(names))
-    return rows.toDF(*names)
+    if multiline is False:
+        _check_headers(spark, path)
+        return _line_rows(spark, path, len(names)).toDF(*names)
+    blocks = _Blocks(spark, path, edge_bytes)
+    if not (multiline or blocks.has_open_lines):
+        return _line_rows(spark, path, len(names)).toDF(*names)
+    return _joined_rows(blocks.records(), len(names)).toDF(*names)
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
@@ -72,8 +85,12 @@ def _check_headers(spark: SparkSession, path: str) -> None:
     )
     headers = first.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").take(2)
     if len(headers) > 1:
-        told = " and ".join(f"{row.header!r} in {row.file}" for row in headers)
-        raise ValueError(f"Files of one delivery have different headers: {told}")
+        _raise_headers([(row.header, row.file) for row in headers])
+
+
+def _raise_headers(headers: list[tuple[str, str]]) -> None:
+    told = " and ".join(f"{header!r} in {file}" for header, file in headers)
+    raise ValueError(f"Files of one delivery have different headers: {told}")
 
 
 def _distinct_names(header: list[str]) -> list[str]:
@@ -126,24 +143,6 @@ def _unquoted(text: Column) -> Column:
     return F.regexp_replace(F.replace(text, F.lit('""'), F.lit("")), '(^|,)"[^"]*"', "$1")
 
 
-def _ends_open(line: Column) -> Column:
-    """Whether a line that starts outside quotes ends inside a quoted cell."""
-    return _unquoted(line).rlike('(^|,)"')
-
-
-def _stays_open(line: Column) -> Column:
-    """The same for a line that starts inside a quoted cell: what follows its closing quote is an unquoted rest."""
-    single = F.replace(line, F.lit('""'), F.lit(""))
-    closing = F.instr(single, '"')
-    rest = F.concat(F.lit("-"), F.substring(single, closing + 1, F.length(single)))
-    return (closing == 0) | _ends_open(rest)
-
-
-def _has_open_lines(spark: SparkSession, path: str) -> bool:
-    line = F.col("value")
-    return not spark.read.text(path).where(line.contains('"') & _ends_open(line)).isEmpty()
-
-
 def _state_before(ordered: WindowSpec, start: bool) -> Column:
     """Whether each row of ``(from_out, from_in)`` starts inside a cell, if the first one starts as given.
 
@@ -170,10 +169,12 @@ def _with_states(table: DataFrame, ordered: WindowSpec, **starts: bool) -> DataF
     return counted.withColumns({name: _state_before(ordered, start) for name, start in starts.items()})
 
 
-def _joined_rows(spark: SparkSession, path: str, width: int) -> DataFrame:
-    parsed = _records(spark, path).select("record", F.from_csv("record", _schema(width + 1), _CSV).alias("row"))
+def _joined_rows(records: DataFrame, width: int) -> DataFrame:
+    # Behind the fence, so that a record is parsed once and not again for each mention of its row.
+    parsed = fence(records.select("record", F.from_csv("record", _schema(width + 1), _CSV).alias("row")))
     # Outside quotes, a carriage return would be one more kind of line end; read as part of a line it would lose rows.
-    stray_return = _unquoted(F.col("record")).contains("\r")
+    record = F.col("record")
+    stray_return = record.contains("\r") & _unquoted(record).contains("\r")
     return (
         parsed.where(
             _unless(stray_return, F.concat(F.lit("Carriage return as line end within: "), "record"))
@@ -184,88 +185,148 @@ def _joined_rows(spark: SparkSession, path: str, width: int) -> DataFrame:
     )
 
 
-def _records(spark: SparkSession, path: str) -> DataFrame:
-    """One text per record, without the header. A record's lines are joined again by the line break they had."""
-    lines = _described_lines(spark, path)
-    outcomes = lines.select("file", "block", "from_out", "from_in").mapInArrow(_block_outcomes, _OUTCOME)
-    starts = _starting_inside(spark, path, staged(outcomes, "csv-blocks"))
-    # At most a row of three numbers for each block of the input.
-    placed = lines.join(F.broadcast(starts), ["file", "block"], "left").select(
-        "file", "block", F.coalesce("inside", F.lit(False)).alias("inside"), "value", "from_out", "from_in"
-    )
-    pieces = placed.mapInArrow(_assembled, _PIECE)
-    whole = pieces.where("part IS NULL").select("record")
-
-    cut = staged(pieces.where("part IS NOT NULL"), "csv-edges")
-    so_far = Window.partitionBy("file").orderBy("block", "part")
-    numbered = cut.withColumn("cell", F.count_if(F.col("part") == _TAIL).over(so_far))
-    parts = F.array_sort(F.collect_list(F.struct("block", "part", "record")))  # the pieces of one record
-    mended = (
-        numbered.groupBy("file", "cell")
-        .agg(parts.alias("parts"), F.max("is_header").alias("is_header"))
-        .where(~F.col("is_header"))
-        .select(F.array_join(F.transform("parts", lambda part: part["record"]), "\n").alias("record"))
-    )
-    return whole.unionByName(mended).select(F.regexp_replace("record", r"\r\z", "").alias("record"))
+class _Blocks:
+    """The blocks of a file or folder after the first scan."""
+
+    def __init__(self, spark: SparkSession, path: str, edge_bytes: int):
+        self.spark, self.path = spark, path
+        lines = _lines_of(spark, path)
+        survey = staged(lines.mapInArrow(_surveyor(edge_bytes), _SURVEY), "csv-blocks")
+        by_block = Window.partitionBy("file").orderBy("block")
+        placed = _with_states(survey, by_block, inside=False)
+        inside, closes = F.col("inside"), F.col("closes")
+        self.placed = placed.withColumns(
+            {
+                "ends_inside": F.when(inside, F.col("from_in")).otherwise(F.col("from_out")),
+                "tail": F.when(inside, F.col("tail_in")).otherwise(F.col("tail_out")),
+                "tail_open": F.when(inside, closes & F.col("from_in")).otherwise(F.col("from_out")),
+            }
+        )
+        found = self._found()
+        if found["unclosed"] is not None:
+            raise ValueError(f"A quoted cell is never closed in {self._name(found['unclosed'])}")
+        if found["lowest"] and found["lowest"].header != found["highest"].header:
+            told = [(x.header, self._name(x.file)) for x in (found["lowest"], found["highest"])]
+            _raise_headers(sorted(told, key=lambda pair: pair[1]))
+        self.has_open_lines, self.lost, self.inside_blocks = found["opens"], found["lost"], found["inside_blocks"]
+
+    def _name(self, file: int) -> str:
+        """The path of a file that is known by its number."""
+        paths = self.spark.read.text(self.path).select("_metadata.file_path")
+        return paths.where(F.xxhash64("file_path") == file).first()[0]
+
+    def _found(self) -> dict:
+        """What the driver has to know, in one row."""
+        last = Window.partitionBy("file")
+        # A header that its first block cuts is told by its beginning.
+        header = F.regexp_replace(F.coalesce("header", "tail"), r"^\ufeff|\r$", "")
+        told = F.when((F.col("block") == 0) & header.isNotNull(), F.struct(header.alias("header"), "file"))
+        lost = (F.col("inside") & F.col("head").isNull()) | (F.col("tail_open") & F.col("tail").isNull())
+        row = (
+            self.placed.withColumn("last", F.max("block").over(last))
+            .agg(
+                F.min(F.when(F.col("ends_inside") & (F.col("block") == F.col("last")), F.col("file"))).alias("unclosed"),
+                F.coalesce(F.bool_or("opens"), F.lit(False)).alias("opens"),
+                F.coalesce(F.bool_or(lost), F.lit(False)).alias("lost"),
+                F.count_if("inside").alias("inside_blocks"),
+                F.min(told).alias("lowest"),
+                F.max(told).alias("highest"),
+            )
+            .first()
+        )
+        return row.asDict()
+
+    def records(self) -> DataFrame:
+        """One text per record, without the header. A record's lines are joined again by the line break they had."""
+        whole = self._lines().mapInArrow(_whole_records, "record string")
+        if self.inside_blocks:
+            whole = whole.union(self._mended())
+        ended = F.col("record").endswith(F.lit("\r"))
+        return whole.select(F.when(ended, F.expr("left(record, length(record) - 1)")).otherwise(F.col("record")).alias("record"))
+
+    def _lines(self) -> DataFrame:
+        """Every line with the state its block starts in."""
+        lines = _lines_of(self.spark, self.path)
+        if not self.inside_blocks:
+            return lines.withColumn("inside", F.lit(False))
+        starts = self.placed.where("inside").select("file", "block", "inside")
+        if self.inside_blocks <= BROADCAST_BLOCKS:
+            starts = F.broadcast(starts)
+        return lines.join(starts, ["file", "block"], "left").select(
+            *lines.columns, F.coalesce("inside", F.lit(False)).alias("inside")
+        )
 
+    def _mended(self) -> DataFrame:
+        """The records that edges cut, from their pieces: an open end, and what follows in the blocks after it."""
+        so_far = Window.partitionBy("file").orderBy("block", "part")
+        numbered = self._pieces().withColumn("cell", F.count_if(F.col("part") == _TAIL).over(so_far))
+        parts = F.array_sort(F.collect_list(F.struct("block", "part", "record")))  # the pieces of one record
+        return (
+            numbered.groupBy("file", "cell")
+            .agg(parts.alias("parts"), F.max("is_header").alias("is_header"))
+            .where(~F.col("is_header"))
+            .select(F.array_join(F.transform("parts", lambda part: part["record"]), "\n").alias("record"))
+        )
 
-_OUTCOME = "file long, block long, from_out boolean, from_in boolean"
+    def _pieces(self) -> DataFrame:
+        """``(file, block, part, is_header, record)``; long ones take a scan of their own."""
+        if self.lost:
+            return staged(self._lines().mapInArrow(_cut_pieces, _PIECE), "csv-edges")
+        is_header = (F.col("block") == 0) & F.col("header").isNull()
+        head = F.struct(F.lit(_HEAD).alias("part"), F.lit(False).alias("is_header"), F.col("head").alias("record"))
+        tail = F.struct(F.lit(_TAIL).alias("part"), is_header.alias("is_header"), F.col("tail").alias("record"))
+        both = F.array_compact(F.array(F.when(F.col("inside"), head), F.when(F.col("tail_open"), tail)))
+        return self.placed.select("file", "block", F.inline(both))
+
+
+_SURVEY = T.StructType(
+    [
+        *(T.StructField(name, T.LongType()) for name in ("file", "block")),
+        # Whether a line opens a cell; the block's last state for either first one; whether an open cell closes in it.
+        *(T.StructField(name, T.BooleanType()) for name in ("opens", "from_out", "from_in", "closes")),
+        # The header, in a first block; what ends a record begun before; the open end for either start.
+        *(T.StructField(name, T.StringType()) for name in ("header", "head", "tail_out", "tail_in")),
+    ]
+)
 _PIECE = "file long, block long, part int, is_header boolean, record string"
 # The end of a record that an earlier block began, and the beginning of one that goes on in a later block.
 _HEAD, _TAIL = 0, 1
 
 
-def _described_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line, in file order within its task, with its file as a number, its block and its two outcomes."""
-    line = F.col("value")
-    quoted = line.contains('"')
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.xxhash64("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            line,
-            (quoted & _ends_open(line)).alias("from_out"),
-            (~quoted | _stays_open(line)).alias("from_in"),
-        )
-    )
+def _lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """Every line, in file order within its task, with its file as a number and its block."""
+    place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    return spark.read.option("lineSep", "\n").text(path).select(*place, "value")
+
 
+def _quotes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What changes the state, in order: the line each change is in, and whether it swaps the state or ends a cell.
 
-def _starting_inside(spark: SparkSession, path: str, outcomes: DataFrame) -> DataFrame:
-    """``(file, block, inside)`` of the blocks that start inside a cell."""
-    by_block = Window.partitionBy("file").orderBy("block")
-    placed = _with_states(outcomes, by_block, inside=False)
-    ends_inside = F.when(F.col("inside"), F.col("from_in")).otherwise(F.col("from_out"))
-    open_files = placed.groupBy("file").agg(F.max_by(ends_inside, "block").alias("open")).where("open")
-    unclosed = open_files.first()
-    if unclosed:
-        names = spark.read.text(path).select("_metadata.file_path").where(F.xxhash64("file_path") == unclosed["file"])
-        raise ValueError(f"A quoted cell is never closed in {names.first()[0]}")
-    return placed.where("inside").select("file", "block", "inside")
-
-
-def _block_outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per file block, for either state it may start in, the state it ends in."""
-    places, ends = [], []
-    for key, rows in _blocks(batches):
-        from_out, from_in = (rows.column(name).to_numpy(zero_copy_only=False) for name in ("from_out", "from_in"))
-        if not places or places[-1] != key:
-            places.append(key)
-            ends.append((False, True))
-        ends[-1] = tuple(bool(_states(from_out, from_in, start)[-1]) for start in ends[-1])
-    columns = [pa.array([place[k] for place in places], pa.int64()) for k in (0, 1)]
-    columns += [pa.array([end[k] for end in ends], pa.bool_()) for k in (0, 1)]
-    yield pa.RecordBatch.from_arrays(columns, names=["file", "block", "from_out", "from_in"])
-
-
-def _states(from_out: np.ndarray, from_in: np.ndarray, start: bool) -> np.ndarray:
-    """The state before each line and, last, after all: what the last line that sets it left, swapped since."""
-    swaps = np.cumsum(from_out & ~from_in)
-    setting = np.maximum.accumulate(np.where(from_out == from_in, np.arange(len(from_out)), -1))
-    value = np.where(setting >= 0, from_out[setting], start)
-    swapped = (swaps - np.where(setting >= 0, swaps[setting], 0)) % 2 == 1
-    return np.concatenate([[start], value ^ swapped])
+    Of quotes in a row, pairs change nothing. A single one, or the odd one out, opens a cell where a cell may begin, behind
+    a comma or at a line's start, and closes one that is open: it swaps. Elsewhere (``5" probe``) it can only close.
+    """
+    count = len(lines)
+    edges = np.frombuffer(lines.buffers()[1], "int32")[lines.offset : lines.offset + count + 1]
+    data = lines.buffers()[2]
+    text = np.frombuffer(data, "uint8")[edges[0] : edges[-1]] if data is not None else np.zeros(0, "uint8")
+    at = np.flatnonzero(text == ord('"'))
+    line = np.searchsorted(edges[1:] - edges[0], at, "right")
+    first = np.ones(len(at), bool)
+    first[1:] = (at[1:] != at[:-1] + 1) | (line[1:] != line[:-1])
+    begins = np.flatnonzero(first)
+    odd = np.diff(np.append(begins, len(at))) % 2 == 1
+    at, line = at[begins[odd]], line[begins[odd]]
+    swaps = (at == edges[line] - edges[0]) | (text[at - 1] == ord(","))
+    return line, swaps
+
+
+def _states(lines: pa.Array, changes: tuple[np.ndarray, np.ndarray], start: bool) -> np.ndarray:
+    """Whether each line ends inside a cell: what the last change that ends a cell left, swapped since."""
+    line, swaps = changes
+    swapped = np.concatenate([[0], np.cumsum(swaps)])
+    ending = np.maximum.accumulate(np.concatenate([[0], np.where(swaps, 0, np.arange(1, len(swaps) + 1))]))
+    state = np.where(ending > 0, False, start) ^ ((swapped - swapped[ending]) % 2 == 1)
+    return state[np.searchsorted(line, np.arange(len(lines)), "right")]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
@@ -278,53 +339,164 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int]
                 yield (int(file[begin]), int(block[begin])), batch.slice(begin, end - begin)
 
 
-def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records as they stream by: whole ones, and the pieces at a block's edges. Blank lines outside cells go."""
+def _joined(lines: pa.Array, ends: np.ndarray) -> pa.Array:
+    """Stretches of lines, up to each of ``ends``, as one text each."""
+    if len(ends) == len(lines):
+        return lines
+    offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n")
+
+
+class _Pending:
+    """Lines of a record that is still open, as texts that are joined when it closes."""
+
+    def __init__(self, most: int | None = None):
+        self.texts: list[str] = []
+        self.size, self.most = 0, most
+
+    def add(self, lines: pa.Array) -> None:
+        if not len(lines):
+            return
+        self.size += pc.sum(pc.binary_length(lines)).as_py() + len(lines)
+        if self.most is None or self.size <= self.most:
+            self.texts.append(_joined(lines, np.array([len(lines)]))[0].as_py())
+
+    def clear(self) -> None:
+        self.texts, self.size = [], 0
+
+    @property
+    def text(self) -> str | None:
+        """None if there were more bytes than are kept."""
+        return None if self.most is not None and self.size > self.most else "\n".join(self.texts)
+
+
+_TEXT = r"[^\x00-\x20]"  # Spark's own reader skips lines without such a character
+
+
+class _Speculation:
+    """One block, followed from one start."""
+
+    def __init__(self, start: bool, most: int | None):
+        self.starts_inside = self.state = start
+        self.has_record = False  # whether a record that is not blank has ended
+        self.ended = False  # whether a record has ended
+        self.head: str | None = None
+        self.pending = _Pending(most)
+
+    def follow(self, lines: pa.Array, changes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Take in lines; gives the places behind those that end a record."""
+        after = _states(lines, changes, self.state)
+        ends = np.flatnonzero(~after) + 1
+        if len(ends):
+            if not self.ended:
+                self.pending.add(lines.slice(0, ends[0]))
+                self.head, self.ended = self.pending.text, True
+            self.pending.clear()
+        self.pending.add(lines.slice(ends[-1] if len(ends) else 0))
+        self.state = bool(after[-1])
+        return ends
+
+
+def _surveyor(most: int):
+    """The first scan: a row of ``_SURVEY`` for each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
+        starts: dict[bool, _Speculation] = {}
+        for (file, block), part in _blocks(batches):
+            if not rows or (rows[-1]["file"], rows[-1]["block"]) != (file, block):
+                _conclude(rows, starts)
+                rows.append({"file": file, "block": block, "opens": False, "header": None})
+                starts = {start: _Speculation(start, most) for start in (False, True)}
+            lines = part.column("value")
+            changes = _quotes(lines)
+            before = starts[False].pending.text if block == 0 and rows[-1]["header"] is None else None
+            ends = starts[False].follow(lines, changes)
+            starts[True].follow(lines, changes)
+            rows[-1]["opens"] |= len(ends) < len(lines)
+            if block == 0 and rows[-1]["header"] is None and len(ends):
+                rows[-1]["header"] = _first_record(lines, ends, before)
+        _conclude(rows, starts)
+        fields = [("file", pa.int64()), ("block", pa.int64())]
+        fields += [(f.name, pa.bool_() if f.dataType == T.BooleanType() else pa.string()) for f in _SURVEY.fields[2:]]
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields))
+
+    return run
+
+
+def _conclude(rows: list[dict], starts: dict[bool, _Speculation]) -> None:
+    """Add what the two speculations about a block came to."""
+    if rows:
+        out, inside = starts[False], starts[True]
+        rows[-1] |= {"from_out": out.state, "from_in": inside.state, "closes": inside.ended}
+        rows[-1]["head"] = inside.head if inside.ended else inside.pending.text
+        rows[-1]["tail_out"] = out.pending.text if out.state else None
+        rows[-1]["tail_in"] = inside.pending.text if inside.state and inside.ended else None
+
+
+def _first_record(lines: pa.Array, ends: np.ndarray, before: str | None) -> str | None:
+    """The first record that is not blank; ``before`` is what earlier batches hold of the first one."""
+    for k, text in enumerate(_joined(lines.slice(0, ends[-1]), ends)):
+        record = f"{before}\n{text.as_py()}" if before and not k else text.as_py()
+        if pc.match_substring_regex(pa.array([record]), _TEXT)[0].as_py():
+            return record
+    return None
+
+
+def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The second scan: a block's records as they stream by, but those that its edges cut. Blank lines between them go."""
     key: tuple[int, int] | None = None
-    waiting: list[str] = []  # lines of a record that is still open
-    inside = is_head = wants_header = False
+    state = is_head = wants_header = False
+    pending = _Pending()
+    for place, part in _blocks(batches):
+        if place != key:
+            key, state, wants_header = place, part.column("inside")[0].as_py(), place[1] == 0
+            is_head = state
+            pending.clear()
+        lines = part.column("value")
+        after = _states(lines, _quotes(lines), state)
+        state = bool(after[-1])
+        ends = np.flatnonzero(~after) + 1
+        if len(ends):
+            records = _joined(lines.slice(0, ends[-1]), ends)
+            if pending.texts or is_head:
+                pending.add(lines.slice(0, ends[0]))
+                first = [] if is_head else [pending.text]
+                records = pa.concat_arrays([pa.array(first, records.type), records.slice(1)])
+                pending.clear()
+                is_head = False
+            records = records.filter(pc.match_substring_regex(records, _TEXT))
+            if wants_header and len(records):
+                records, wants_header = records.slice(1), False
+            yield pa.RecordBatch.from_arrays([records], names=["record"])
+        if not is_head:
+            pending.add(lines.slice(ends[-1] if len(ends) else 0))
+
+
+def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces at the edges of blocks, whatever their length."""
+    key: tuple[int, int] | None = None
+    follower = None
     out: list[tuple] = []
 
-    def close(is_open: bool) -> None:
-        """The waiting lines are a record; ``is_open``: it goes on in the next block."""
-        nonlocal waiting, is_head, wants_header
-        text = "\n".join(waiting)
-        if is_head:
-            out.append((*key, _HEAD, False, text))
-        elif is_open or len(waiting) > 1 or not _BLANK(text):
-            if is_open:
-                out.append((*key, _TAIL, wants_header, text))
-            elif not wants_header:
-                out.append((*key, None, False, text))
-            wants_header = False
-        waiting, is_head = [], False
-
-    for place, rows in _blocks(batches):
+    def close() -> None:
+        if follower and key:
+            if follower.starts_inside:
+                out.append((*key, _HEAD, False, follower.head if follower.ended else follower.pending.text))
+            if follower.state and (follower.ended or not follower.starts_inside):
+                out.append((*key, _TAIL, key[1] == 0 and not follower.has_record, follower.pending.text))
+
+    for place, part in _blocks(batches):
         if place != key:
-            if key is not None and waiting:
-                close(inside)
-            key, inside, wants_header = place, rows.column("inside")[0].as_py(), place[1] == 0
-            is_head = inside
-        from_out, from_in = (rows.column(name).to_numpy(zero_copy_only=False) for name in ("from_out", "from_in"))
-        states = _states(from_out, from_in, inside)
-        for line, goes_on in zip(rows.column("value").to_pylist(), states[:-1].tolist(), strict=True):
-            if waiting and not goes_on:
-                close(False)
-            waiting.append(line)
-        inside = bool(states[-1])
-        if len(out) >= 4096:
-            yield _piece_batch(out)
-            out = []
-    if waiting:
-        close(inside)
-    if out:
-        yield _piece_batch(out)
-
-
-_BLANK = re.compile(r"[\x00-\x20]*\Z").match
-
-
-def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+            close()
+            key = place
+            follower = _Speculation(part.column("inside")[0].as_py(), None)
+        lines = part.column("value")
+        ends = follower.follow(lines, _quotes(lines))
+        if len(ends) and not follower.has_record:
+            follower.has_record = pc.any(pc.match_substring_regex(lines.slice(0, ends[-1]), _TEXT)).as_py()
+    close()
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
-    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, names=["file", "block", "part", "is_header", "record"])
+    names = ["file", "block", "part", "is_header", "record"]
+    columns = zip(*out, strict=True) if out else [[]] * len(kinds)
+    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names)

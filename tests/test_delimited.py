@@ -5,9 +5,10 @@ from __future__ import annotations
 import csv
 import random
 
+import pyarrow as pa
 import pytest
 
-from cohortloom.sources.delimited import _distinct_names, _records, read_delimited
+from cohortloom.sources.delimited import _Blocks, _distinct_names, _quotes, _states, read_delimited
 
 
 def write(path, rows, **options):
@@ -85,9 +86,9 @@ def cells(rng):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("split", [None, 300])
-def test_line_breaks_in_cells(spark, tmp_path, seed, split):
-    """Random cells full of quotes and breaks, whole and cut into blocks of 300 bytes."""
+@pytest.mark.parametrize("split, edge", [(None, 1 << 16), (300, 1 << 16), (300, 5)])
+def test_line_breaks_in_cells(spark, tmp_path, seed, split, edge):
+    """Random cells full of quotes and breaks, whole and cut into small blocks, with and without room for cut pieces."""
     rng = random.Random(seed)
     width = 4
     rows = [[f"r{i}", *(cells(rng) for _ in range(width - 1))] for i in range(300)]
@@ -95,7 +96,7 @@ def test_line_breaks_in_cells(spark, tmp_path, seed, split):
     if split:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        columns, got = read(spark, path)
+        columns, got = read(spark, path, edge_bytes=edge)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert columns == ["id", "b\nb", "c", "d"]
@@ -112,15 +113,64 @@ def test_quotes_within_unquoted_cells(spark, tmp_path, multiline):
     assert read(spark, str(tmp_path / "b.csv"), multiline=multiline)[1] == want
 
 
-def test_blocks_are_read_apart(spark, tmp_path):
+@pytest.mark.parametrize("edge", [1 << 16, 3])
+def test_cells_longer_than_blocks(spark, tmp_path, edge):
+    """Cells over several blocks, with blank lines and quotes, and a header that a block's edge cuts."""
+    rows = [["id", "two\n" * 30 + "lines"], *([f"r{i}", "\n".join(["x", "", 'say ""', ","] * (i * 9))] for i in range(12))]
+    path = write(tmp_path / "a.csv", rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 150)
+    try:
+        columns, got = read(spark, path, edge_bytes=edge)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert columns == rows[0] and got == sorted(map(tuple, rows[1:]))
+
+
+def test_states_of_lines():
+    """The end of each line against a walk over its characters, from either start."""
+    rng = random.Random(3)
+    for _ in range(400):
+        lines = ["".join(rng.choice('""",,ab ') for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(1, 30))]
+        some = pa.array(["", 'x"', *lines]).slice(2)
+        for start in (False, True):
+            state, want = start, []
+            for line in lines:
+                state = ends_inside(line, state)
+                want.append(state)
+            assert _states(some, _quotes(some), start).tolist() == want, lines
+
+
+def ends_inside(line: str, inside: bool) -> bool:
+    k, begins = 0, True
+    while k < len(line):
+        if inside and line[k] == '"':
+            if line[k + 1 : k + 2] == '"':
+                k += 1
+            else:
+                inside = False
+        elif line[k] == '"' and begins:
+            inside = True
+        begins = line[k] == ","
+        k += 1
+    return inside
+
+
+def test_two_scans_of_the_text(spark, tmp_path):
+    """One scan finds out about the blocks, one reads the records; no line is shuffled by either."""
     path = write(tmp_path / "a.csv", [["id", "t"], *([f"r{i}", f"x\ny{i}"] for i in range(2000))])
     spark.conf.set("spark.sql.files.maxPartitionBytes", 4000)
     try:
-        plan = _records(spark, path)._jdf.queryExecution().executedPlan().toString()
+        blocks = _Blocks(spark, path, 1 << 16)
+        plan = blocks.records()._jdf.queryExecution().executedPlan().toString()
         assert read_delimited(spark, path).count() == 2000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert "Python" not in plan
+    assert blocks.has_open_lines and blocks.inside_blocks > 0 and not blocks.lost
+    assert plan.count("FileScan text") == 1
+    branch = plan[: plan.index("FileScan text")].splitlines()
+    assert "hashpartitioning(value" not in plan and any("MapInArrow" in line for line in branch)
+    one_line = _Blocks(spark, write(tmp_path / "b.csv", [["id", "t"], ["1", "a,b"]]), 1 << 16)
+    assert not one_line.has_open_lines
 
 
 def test_folder_of_files(spark, tmp_path):
