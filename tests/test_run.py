@@ -116,8 +116,7 @@ def test_listing(lake, spark, tmp_path):
     rows = lake.list_files(SILVER).collect()
     assert [(r.path, r.length) for r in rows] == sorted((str(p.relative_to(base)), p.stat().st_size) for p in here)
     paths = [row.path for row in rows]
-    assert {"_manifests/run_id=r/_SUCCESS", "samples/run_id=r/_SUCCESS"} <= set(paths)
-    assert {path.rsplit("/", 1)[0] for path in paths} == {"_manifests/run_id=r", "samples/run_id=r"}
+    assert {path.rsplit("/", 2)[0] for path in paths} == {"_manifests/run_id=r", "samples/run_id=r"}
     assert len(lake.list_files(SILVER, "samples/run").collect()) == sum(path.startswith("samples") for path in paths)
 
 
@@ -130,6 +129,54 @@ def test_hidden_names_are_listed_once(lake):
     assert [row.path for row in lake.list_files(BRONZE).collect()] == here
 
 
+def test_hidden_names_at_any_depth(lake):
+    base = Path(lake.path(BRONZE))
+    deep = "/".join("abcdefghijkl")
+    for name in (f"{deep}/seen.csv", f"{deep}/_hidden.csv", f"{deep}/m/n/_o/.p/q", "a/b/_c/" + deep + "/.z"):
+        (base / name).parent.mkdir(parents=True, exist_ok=True)
+        (base / name).write_text(name)
+    here = sorted(str(p.relative_to(base)) for p in base.rglob("*") if p.is_file())
+    assert [row.path for row in lake.list_files(BRONZE).collect()] == here
+    below = [path for path in here if path.startswith("a/b/c/d")]
+    assert [row.path for row in lake.list_files(BRONZE, "a/b/c/d").collect()] == below
+
+
+def test_a_broken_run_leaves_the_earlier_one_whole(lake, spark, monkeypatch):
+    """A run that dies between its two tables: readers still see both tables and the manifest of the one before."""
+    bronze(lake, "dupes.csv", **duplicates())
+    first = run_all(lake, {"GSE33000": "dupes.csv"}, run_id="r")
+    before = [sorted(map(tuple, t.collect()), key=str) for t in (lake.read_silver(), lake.read_quarantine(), lake.read_manifests())]
+    write, abandon = Lake.write_run, Lake.abandon_run
+
+    def dies(self, frame, layer, *rest):
+        if layer == QUARANTINE:
+            raise OSError("no more disk")
+        return write(self, frame, layer, *rest)
+
+    monkeypatch.setattr(Lake, "write_run", dies)
+    for clean in (abandon, lambda *_: None):  # also where the run could not even tidy up
+        monkeypatch.setattr(Lake, "abandon_run", clean)
+        with pytest.raises(OSError):
+            run_all(lake, {"GSE33000": "dupes.csv", "GSE5281": FILES["GSE5281"]}, run_id="r")
+        after = [sorted(map(tuple, t.collect()), key=str) for t in (lake.read_silver(), lake.read_quarantine(), lake.read_manifests())]
+        assert after == before and exists(spark, first.silver_path)
+
+    monkeypatch.setattr(Lake, "write_run", write)
+    second = run_all(lake, {"GSE33000": "dupes.csv", "GSE5281": FILES["GSE5281"]}, run_id="r")
+    assert lake.read_silver().count() == second.rows_clean == 5 and lake.read_quarantine().count() == 2
+    assert json.loads(lake.read_manifests().first().manifest_json)["silver_path"] == second.silver_path
+    left = {p.name for p in Path(lake.path(SILVER)).rglob("attempt=*")}
+    assert left == {second.silver_path.rsplit("/", 1)[1]}, "earlier attempts are gone"
+
+
+def test_runs_are_pruned(lake):
+    for run in ("a", "b"):
+        run_all(lake, {"GSE5281": FILES["GSE5281"]}, run_id=run)
+    plan = lake.read_silver().where("run_id = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "(run_id" in plan.split("PartitionFilters", 1)[1].split("PushedFilters", 1)[0]
+    assert lake.read_silver().where("run_id = 'a'").count() == 4
+
+
 def test_account_paths(spark):
     lake = Lake.in_account(spark, "https://acct.dfs.core.windows.net/")
     assert lake.path(BRONZE, "a.csv") == "abfss://bronze@acct.dfs.core.windows.net/a.csv"
