@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.operators.duplicates import mark_duplicates
+from cohortloom.operators.duplicates import _mask, _slot, bloom_filter, mark_duplicates
 
 ROWS = 60_000
 
@@ -29,8 +29,14 @@ def skewed(spark, tmp_path_factory):
 
 @pytest.mark.parametrize(
     "limits",
-    [{}, {"broadcast_bytes": 100}, {"broadcast_bytes": 0}],
-    ids=["broadcast", "split", "all_cold"],
+    [
+        {},
+        {"broadcast_bytes": 100},
+        {"broadcast_bytes": 0},
+        {"broadcast_bytes": 100, "filter_words": 3},
+        {"broadcast_bytes": 0, "filter_words": 1},
+    ],
+    ids=["broadcast", "split", "all_cold", "many_false_positives", "one_word"],
 )
 def test_matches_plain_count(skewed, limits):
     rows = skewed.select("sample_id", "`x.y`").collect()
@@ -50,8 +56,12 @@ def test_broadcast_path_shuffles_no_rows(skewed):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
-def test_hot_and_missing_ids_stay_out_of_the_join(skewed):
-    """With a sort-merge join and no skew join to help, no joining task has over twice the mean."""
+@pytest.mark.parametrize("words, least, most", [(1 << 20, 0, 40), (64, 1, ROWS // 3)])
+def test_only_possible_duplicates_are_joined(skewed, words, least, most):
+    """With a sort-merge join and no skew join to help, no joining task has over twice the mean.
+
+    What is joined are the rows of ids with few copies, a sixth of all, and the filter's false positives.
+    """
     spark = skewed.sparkSession
     off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false"}
     off |= {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
@@ -59,7 +69,7 @@ def test_hot_and_missing_ids_stay_out_of_the_join(skewed):
     try:
         for name, value in off.items():
             spark.conf.set(name, value)
-        marked = mark_duplicates(skewed, broadcast_bytes=100)
+        marked = mark_duplicates(skewed, broadcast_bytes=100, filter_words=words)
         plan = plan_of(marked)
         assert "SortMergeJoin" in plan and "SinglePartition" not in plan
         counted = marked.groupBy(F.spark_partition_id().alias("task")).count().collect()
@@ -69,10 +79,27 @@ def test_hot_and_missing_ids_stay_out_of_the_join(skewed):
     scans = skewed.rdd.getNumPartitions()
     joined = [row["count"] for row in counted if row.task >= scans]
     settled = [row["count"] for row in counted if row.task < scans]
-    assert sum(joined) == ROWS // 2 and sum(settled) == ROWS // 2
+    assert sum(joined) + sum(settled) == ROWS
+    assert least <= sum(joined) - ROWS // 6 <= most
     assert max(joined) < 2 * sum(joined) / len(joined) and max(settled) < 2 * sum(settled) / len(settled)
 
 
+def test_filter_misses_none_and_few_others_pass(spark):
+    held = spark.range(8 * 1000).selectExpr("concat('a', id) AS id")
+    others = spark.range(50_000).selectExpr("concat('b', id) AS id")
+    words = bloom_filter(held, "id", 1000)
+    assert words.count() <= 1000
+
+    def passed(frame):
+        mask = _mask(F.col("id"))
+        found = frame.withColumn("__slot", _slot(F.col("id"), 1000)).join(words, "__slot", "left")
+        return found.where(F.col("__word").bitwiseAND(mask) == mask).count()
+
+    assert passed(held) == 8000
+    assert passed(others) < 0.05 * 50_000
+    assert bloom_filter(held.selectExpr("CAST(NULL AS string) AS id"), "id", 10).count() == 0
+
+
 def test_id_count_reads_one_column(skewed):
     from cohortloom.operators.duplicates import repeated_ids
 
