@@ -319,7 +319,7 @@ def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All a published run's manifest says, but for its times and the folder of its lake."""
+    """All a published run's manifest says, but for its times, its attempt and the folder of its lake."""
     texts, counts = "map<string,string>", "map<string,bigint>"
     fields = (
         f"run_id:string,started_at:string,finished_at:string,studies:array<string>,source_paths:{texts},"
@@ -333,7 +333,7 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.transform_keys(column, lambda key, _: F.concat(F.lit(f"{name}:"), key))
 
     def folder(path: str) -> Column:
-        return F.regexp_extract(path, "(silver|quarantine)/samples/run_id=.*$", 0)
+        return F.regexp_extract(path, "(silver|quarantine)/samples/run_id=[^/]*", 0)
 
     single = {
         "run_id": F.col("run_id"),

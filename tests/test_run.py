@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,7 @@ from conftest import FILES, RAW, write_csv
 from pyspark.sql import functions as F
 
 from cohortloom import QualityGateError, SourceMapping, enforce_gate, run_all, run_study
+from cohortloom.plans.run import deliver
 from cohortloom.schema import CANONICAL_COLUMNS, QUARANTINE_SCHEMA, SILVER_SCHEMA
 from cohortloom.sources.lake import BRONZE, QUARANTINE, SILVER, Lake, exists
 from cohortloom.sources.scratch import ensure_checkpoint_dir
@@ -198,6 +200,26 @@ def test_scratch_is_emptied(lake, spark, monkeypatch):
     assert scratch_names(spark) == before
 
 
+def test_deliveries_are_looked_at_side_by_side(lake, spark, monkeypatch):
+    """More deliveries than run at once: all arrive, by study, and their scratch tables go."""
+    waiting, most = [], []
+
+    def slow(lake, study, path, crosswalk, multiline):
+        waiting.append(study)
+        time.sleep(0.2)
+        most.append(len(waiting))
+        waiting.remove(study)
+        return deliver(lake, study, path, crosswalk, multiline)
+
+    mappings = {f"S{k:02}": SourceMapping(f"S{k:02}", {"sample_id": "geo_accession"}, {}, "") for k in range(24)}
+    monkeypatch.setattr("cohortloom.plans.run.deliver", slow)
+    monkeypatch.setattr("cohortloom.plans.run.get_mapping", mappings.__getitem__)
+    before = scratch_names(spark)
+    manifest = run_all(lake, dict.fromkeys(mappings, FILES["GSE5281"]), run_id="many")
+    assert manifest.studies == sorted(mappings) and manifest.rows_in == 24 * 4
+    assert 8 <= max(most) <= 16 and scratch_names(spark) == before
+
+
 def test_lost_counts_stop_the_run(lake, spark, monkeypatch):
     bronze(lake, "dupes.csv", **duplicates())
     first = run_all(lake, {"GSE33000": "dupes.csv"}, run_id="r")
