@@ -24,7 +24,7 @@ VECTORS = {
     "text": (
         text.normalize_text,
         {
-            "entorhinal cortex": ["  entorhinal   cortex \n", "entorhinal cortex", " entorhinal\x1f cortex"],
+            "locus coeruleus": ["\\t locus \\n coeruleus  ", "locus coeruleus", " locus\\x1f coeruleus"],
             "Aa": ["Aa", " Aa"],
             None: ["  ", "NA", None],
             "not reported x": ["not  reported\tx"],
@@ -47,7 +47,7 @@ VECTORS = {
             + ["ci", "definite mci"],
             "CONTROL": ["control", "Control", "CTRL", "normal", "non-demented", "cognitively normal", "NC"]
             + ["healthy control", "amyloid seen, no dementia", "cognitively unimpaired", "possible hc"],
-            "OTHER": ["frontotemporal dementia", "Lewy body dementia", "vascular dementia", "lost to follow-up"]
+            "OTHER": ["a frontotemporal type", "with Lewy bodies", "Vascular  dementia, late", "lost to follow-up"]
             + ["CBD corticobasal syndrome", "progressive supranuclear palsy", "non demented", "MCI due to AD", "sporadic AD", "probable AD."]
             + ["dementia", "parkinson", "n'a", "probable probable ad", "probable"],
             "UNKNOWN": [None, "NA", "", " Unknown "],
