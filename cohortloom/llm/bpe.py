@@ -53,11 +53,14 @@ class Vocabulary:
     """``path``: a rank file (``*.tiktoken``) or a tokenizer file (``*.json``). ``pattern``: how texts are split.
 
     ``cache``: words, and pieces of words, that a worker remembers; it costs memory and saves time, never a result.
+    ``added``: whether the added tokens of a tokenizer file stand for themselves where a text spells them, as the library
+    has it unless told otherwise; else their strings are ordinary text. Rank files have none.
     """
 
     path: str
     pattern: str
     cache: int = CACHE
+    added: bool = False
 
 
 def byte_characters() -> list[str]:
@@ -91,10 +94,11 @@ def from_ranks(path: str, pattern: str) -> Tokenizer:
 
 
 def from_file(path: str) -> Tokenizer:
+    """The file's tokenizer, to which the strings of special tokens are ordinary text."""
     tokenizer = Tokenizer.from_file(path)
     if json.loads(tokenizer.pre_tokenizer.__getstate__())["type"] != "ByteLevel":
         raise ValueError(f"{path} is not a byte-level vocabulary")
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenizer.encode_special_tokens = True
     return tokenizer
 
 
@@ -105,6 +109,8 @@ class Codec:
     tokenizer: Tokenizer
     pattern: str
     cache: int = CACHE
+    #: The library as it comes, for texts that spell one of its added tokens; None if these are ordinary text.
+    whole: Tokenizer | None = None
     words: dict[str, bytes] = field(default_factory=dict)
     pieces: dict[str, bytes] = field(default_factory=dict)
 
@@ -115,13 +121,31 @@ class Codec:
         self.bytes_of = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for token, i in vocabulary.items():
             self.bytes_of[i] = bytes(byte[letter] for letter in token)
+        added = self.whole.get_added_tokens_decoder() if self.whole else {}
+        self.bytes_of += [b""] * (max(added, default=-1) + 1 - len(self.bytes_of))
+        for i, token in added.items():
+            self.bytes_of[i] = token.content.encode()
         self.lengths = np.array([len(b) for b in self.bytes_of], "int64")
+        spelled = "|".join(re.escape(token.content) for token in added.values())
+        self.spells_added = re.compile(spelled).search if spelled else lambda _: None
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. One that spells an added token goes to the library whole."""
+        special = [k for k, text in enumerate(texts) if self.spells_added(text)]
+        if not special:
+            return self._encode_plain(texts)
+        chosen = set(special)
+        out = self._encode_plain(["" if k in chosen else text for k, text in enumerate(texts)])
+        for k in special:
+            ids = self.whole.encode(texts[k], add_special_tokens=False).ids
+            out[k] = np.array(ids, "<u4").tobytes()
+        return out
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
         """Distinct words are found by Arrow, those that the dictionary lacks are encoded at once, and texts are looked up."""
         odd = [_ODD_SPACES(text) is not None for text in texts]
         cut = pc.split_pattern(pa.array(["" if o else t for o, t in zip(odd, texts, strict=True)], pa.string()), pattern=" ")
@@ -197,7 +221,8 @@ def codec(vocabulary: Vocabulary) -> Codec:
     """The worker's codec; workers are reused, so it outlives a task."""
     ranks = vocabulary.path.endswith(".tiktoken")
     tokenizer = from_ranks(vocabulary.path, vocabulary.pattern) if ranks else from_file(vocabulary.path)
-    return Codec(tokenizer, vocabulary.pattern, vocabulary.cache)
+    whole = Tokenizer.from_file(vocabulary.path) if vocabulary.added and not ranks else None
+    return Codec(tokenizer, vocabulary.pattern, vocabulary.cache, whole)
 
 
 Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -30,7 +30,7 @@ from cohortloom.llm.checks import ORACLE_SQL
 from cohortloom.llm.frames import WHITE, staged
 
 MULTILINGUAL = bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-ENGLISH = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, cache=400_000)
+ENGLISH = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, cache=400_000, added=True)
 
 TOXIC_FROM = 0.3
 

@@ -14,8 +14,9 @@ Grades come from the labels: 0 is low quality, 1 is good but toxic text, 2 is go
 
 Defined cases: a null or empty text has no features and gets the thresholds' own probabilities; a null id is scored and
 not held out; labels without quality are not learned from, and a null toxic mark counts as none; without labels the model
-knows nothing and keeps every row; repeated rows get equal scores; an empty table gives an empty table; other columns are
-not read.
+knows nothing and keeps every row; repeated rows get equal scores, repeated labels count once, the highest of them; very
+long texts are worked on one by one, at about 60 bytes a word; an empty table gives an empty table; other columns are not
+read.
 """
 
 from __future__ import annotations

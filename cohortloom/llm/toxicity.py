@@ -8,7 +8,8 @@ scoring is a map over whole texts.
 
 Defined cases: a null or empty text has no features and scores the bias; a null id is scored and not held out; documents
 without a label, and null labels, are not learned from; without labels of both kinds every score is the share of ones,
-zero if there are none; repeated rows get equal scores; an empty table gives an empty table; only id and text are read.
+zero if there are none; repeated rows get equal scores, repeated labels count once, the highest of them; very long texts
+are worked on one by one, at about 60 bytes a word; an empty table gives an empty table; only id and text are read.
 """
 
 from __future__ import annotations

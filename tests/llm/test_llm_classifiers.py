@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import binascii
+import math
 
 import llm_cases as cases
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from cohortloom.llm import ordinal, toxicity
+from cohortloom.llm import hashed_text, ordinal, toxicity
 
 SF_DIR = "/root/testdata/sf0.1"
 
@@ -70,6 +72,102 @@ def test_ftrl_finds_the_one_word_that_matters():
     assert result.places[np.argmax(result.values)] == 0 and len(result.places) < 700
 
 
+def test_ftrl_against_a_dictionary():
+    """The same learner, one coordinate at a time."""
+    rng = np.random.default_rng(2)
+    s = toxicity.Settings(bits=7, l1=0.4)
+    rows = [(np.unique(rng.integers(0, 128, 9)), int(rng.random() < 0.4)) for _ in range(400)]
+    model = toxicity.Ftrl(s)
+    z, n = dict.fromkeys([*range(128), "bias"], 0.0), dict.fromkeys([*range(128), "bias"], 0.0)
+
+    def weight(i):
+        l1 = 0.0 if i == "bias" else s.l1
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((s.beta + math.sqrt(n[i])) / s.alpha + s.l2)
+
+    for places, label in rows:
+        model.learn(places, label)
+        seen = [*places.tolist(), "bias"]
+        w = {i: weight(i) for i in seen}
+        gradient = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for i in seen:
+            sigma = (math.sqrt(n[i] + gradient**2) - math.sqrt(n[i])) / s.alpha
+            z[i] += gradient - sigma * w[i]
+            n[i] += gradient**2
+    result = model.result()
+    want = {i: weight(i) for i in range(128) if weight(i)}
+    assert dict(zip(result.places.tolist(), result.values.tolist(), strict=True)) == pytest.approx(want, rel=1e-5)
+    assert result.bias == pytest.approx(weight("bias")) and 0 < len(want) < 128
+
+
+def test_ordinal_fit_against_differences():
+    """The same steps, with gradients taken from differences of the likelihood."""
+    rng = np.random.default_rng(4)
+    s = ordinal.Settings(bits=4, rounds=2, l2=0.0)
+    rows = [(np.unique(rng.integers(0, 16, 4)), int(rng.integers(0, 3))) for _ in range(60)]
+    rows = [(places, rng.random(len(places)).astype("float32"), grade) for places, grade in rows]
+
+    def loss(w, free, places, values, grade):
+        edges = [-math.inf, free[0], free[0] + math.exp(free[1]), math.inf]
+        upper, lower = (1 / (1 + math.exp(w[places] @ values - e)) if e < math.inf else 1.0 for e in (edges[grade + 1], edges[grade]))
+        return -math.log(upper - lower)
+
+    w, free = np.zeros(16), np.array([-1.0, 0.0])
+    seen, free_seen = np.full(16, 1e-6), np.full(2, 1e-6)
+    for places, values, grade in rows * s.rounds:
+        values, slopes = values.astype("float64"), []
+        for x in (w, free):
+            slope = np.zeros(len(x))
+            for k in range(len(x)):
+                sides = []
+                for step in (1e-5, -1e-5):
+                    x[k] += step
+                    sides.append(loss(w, free, places, values, grade))
+                    x[k] -= step
+                slope[k] = (sides[0] - sides[1]) / 2e-5
+            slopes.append(slope)
+        for x, total, slope in zip((w, free), (seen, free_seen), slopes, strict=True):
+            total += slope**2
+            x -= s.rate * slope / np.sqrt(total)
+    model = ordinal.fit(rows, s)
+    assert model.weights == pytest.approx(w, abs=1e-3)
+    assert model.thresholds == pytest.approx([free[0], free[0] + math.exp(free[1])], abs=1e-3)
+
+
+def test_scores_row_by_row(spark):
+    """Scores of both models for every awkward text, from their features summed one at a time."""
+    docs = cases.docs(spark)
+    rng = np.random.default_rng(1)
+    t, o = toxicity.Settings(bits=12), ordinal.Settings(bits=12)
+    places = np.unique(rng.integers(0, 1 << 12, 600))
+    weights = toxicity.Weights(places, rng.standard_normal(len(places)).astype("float32"), -0.3)
+    value = dict(zip(places.tolist(), weights.values.tolist(), strict=True))
+    model = ordinal.Model(rng.standard_normal(1 << 12).astype("float32"), np.array([-0.5, 0.7]))
+    want_toxic, want_good = [], []
+    for _, text in cases.TEXTS:
+        seen = {int(x) for x in toxicity.features(text or "", t.bits)}
+        want_toxic.append(1 / (1 + math.exp(0.3 - sum(value.get(x, 0.0) for x in seen))))
+        at, amount = ordinal.features(text or "", o.bits)
+        total = sum(float(model.weights[i]) * float(v) for i, v in zip(at, amount, strict=True))
+        want_good.append([1 / (1 + math.exp(-(total - edge))) for edge in model.thresholds])
+    toxic = [r.score for r in toxicity.score(docs, weights, t).collect()]
+    good = [(r.tail_probability, r.expected_grade) for r in ordinal.score(docs, model, o).collect()]
+    assert sorted(toxic) == pytest.approx(sorted(want_toxic))
+    assert np.allclose(sorted(good), sorted((a, a + b) for a, b in want_good))
+
+
+def test_repeated_labels_and_texts(spark):
+    """Whatever the order of the rows, the same label and text are learned from."""
+    given = [(3, 0), (3, 1), (9, 0), (9, 0), (None, 1), (1, None)]
+    texts = [(3, "b"), (3, "a"), (9, "x"), (1, "y")]
+    for order in (1, -1):
+        docs = spark.createDataFrame(texts[::order], "doc_id long, text string")
+        labels = spark.createDataFrame(given[::order], "doc_id long, toxic int")
+        rows = hashed_text.labelled_sample(docs, labels, F.col("toxic"), 100).collect()
+        assert sorted((r.doc_id, r.text, r.label) for r in rows) == [(3, "a", 1), (9, "x", 0)]
+
+
 @pytest.mark.parametrize("labelled", [[], [(1, None, None)], [(1, 1, 0), (2, 1, 0)], [(None, 1, 1), (3, 0, 1), (9, 1, 0)]])
 def test_cases(spark, labelled):
     docs = cases.with_clashes(spark)

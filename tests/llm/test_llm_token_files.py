@@ -6,14 +6,16 @@ import zlib
 
 import llm_cases as cases
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 
-from cohortloom.llm import bpe, token_files
+from cohortloom.llm import bpe, catalogue, token_files
 from cohortloom.llm.catalogue import ENGLISH
+from tokenizers import Tokenizer
 
 
 def expected(rows: list[tuple]) -> list[tuple]:
-    own, at, out = bpe.codec(ENGLISH).tokenizer, 0, []
+    own, at, out = Tokenizer.from_file(ENGLISH.path), 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = np.array([*own.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
         out.append((doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
@@ -52,3 +54,18 @@ def test_sequences_are_views_with_masks(spark):
 
 def test_empty(spark):
     assert token_files.read_documents(token_files.write_token_files(cases.empty(spark), ENGLISH)).count() == 0
+
+
+def test_added_tokens_as_the_library_has_them(spark):
+    """Texts that spell an added token, against a tokenizer fresh from the file; told otherwise, it is ordinary text."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    spelled = ["a<|endoftext|> b", "<|endoftext|>", " <|endoftext|><|endoftext|>\n", "<|endoftext|", "none", "", " x <|endoftext|>  y"]
+    library = Tokenizer.from_file(path)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    for added, tokenizer in ((True, library), (False, plain)):
+        own = bpe.codec(bpe.Vocabulary(path, public_tokenizers.PATTERN, added=added))
+        want = [tokenizer.encode(text, add_special_tokens=False).ids for text in spelled]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(spelled)] == want
+        assert [own.decode(np.array(ids, "int64")).decode() for ids in want] == spelled
+    assert catalogue.ENGLISH.added
