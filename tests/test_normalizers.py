@@ -24,7 +24,7 @@ VECTORS = {
     "text": (
         text.normalize_text,
         {
-            "locus coeruleus": ["\\t locus \\n coeruleus  ", "locus coeruleus", " locus\\x1f coeruleus"],
+            "locus coeruleus": ["\t locus \n coeruleus  ", "locus\u00a0 coeruleus", "\u2028locus\x1f coeruleus"],
             "Aa": ["Aa", " Aa"],
             None: ["  ", "NA", None],
             "not reported x": ["not  reported\tx"],
