@@ -69,9 +69,9 @@ def _mark_split(
     cold = repeated.where(~is_hot)
     # As many rows as the filter has words, at most.
     words = F.broadcast(bloom_filter(cold, "id", filter_words))
-    marked = _looked_up(frame, repeated.where(is_hot), key).withColumn("__slot", _slot(F.col(key), filter_words))
+    marked = _looked_up(frame, repeated.where(is_hot), key).withColumn("__slot", bloom_slot(F.col(key), filter_words))
     marked = marked.join(words, "__slot", "left")
-    mask = _mask(F.col(key))
+    mask = bloom_mask(F.col(key))
     may_be_cold = F.col("__found").isNull() & F.coalesce(F.col("__word").bitwiseAND(mask) == mask, F.lit(False))
     settled = marked.where(~may_be_cold).select(*_columns(frame), _decided("__found").alias(flag))
     ids = cold.select(F.col("id").alias("__id"), F.lit(True).alias("__found"))
@@ -82,16 +82,16 @@ def _mark_split(
 
 def bloom_filter(ids: DataFrame, key: str, words: int) -> DataFrame:
     """``(__slot, __word)``: the words of a filter in which some bit is set; a NULL id sets none."""
-    slots = ids.where(F.col(key).isNotNull()).select(_slot(F.col(key), words).alias("__slot"), _mask(F.col(key)).alias("bits"))
+    slots = ids.where(F.col(key).isNotNull()).select(bloom_slot(F.col(key), words).alias("__slot"), bloom_mask(F.col(key)).alias("bits"))
     return slots.groupBy("__slot").agg(F.bit_or("bits").alias("__word"))
 
 
-def _slot(value: Column, words: int) -> Column:
+def bloom_slot(value: Column, words: int) -> Column:
     """The word an id belongs to; NULL without id, as the hash of NULL is one word like any other."""
     return F.when(value.isNotNull(), F.pmod(F.xxhash64(F.lit("slot"), value), F.lit(words)))
 
 
-def _mask(value: Column) -> Column:
+def bloom_mask(value: Column) -> Column:
     """The bits of an id within its word: four times six bits of a second hash."""
     h = F.xxhash64(F.lit("bits"), value)
     places = [F.shiftrightunsigned(h, 6 * k).bitwiseAND(F.lit(63)).cast("int") for k in range(_BITS)]

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.operators.duplicates import _mask, _slot, bloom_filter, mark_duplicates
+from cohortloom.operators.duplicates import bloom_filter, bloom_mask, bloom_slot, mark_duplicates
 
 ROWS = 60_000
 
@@ -91,8 +91,8 @@ def test_filter_misses_none_and_few_others_pass(spark):
     assert words.count() <= 1000
 
     def passed(frame):
-        mask = _mask(F.col("id"))
-        found = frame.withColumn("__slot", _slot(F.col("id"), 1000)).join(words, "__slot", "left")
+        mask = bloom_mask(F.col("id"))
+        found = frame.withColumn("__slot", bloom_slot(F.col("id"), 1000)).join(words, "__slot", "left")
         return found.where(F.col("__word").bitwiseAND(mask) == mask).count()
 
     assert passed(held) == 8000
