@@ -8,7 +8,10 @@
 3. **Probes.** A document's keys go to their shard as rows of fixed width and are looked up there, all at once, in the
    arrays. Lines and texts are never joined. Keys frequent enough to weigh on a shard are few (at most ``4 * shards``);
    they are written as a table of their own and joined, by a broadcast while their bytes allow it.
-4. **Texts.** Only documents that lose lines are split again, next to the keys they lose.
+4. **Texts.** Only documents that lose lines are split again, next to the keys they lose. A Bloom filter of fixed size settles
+   the others where they are read, so that no text is shuffled but of documents that lose lines and of a few that might.
+
+Very long texts are split one by one, at about ten times their bytes in memory.
 
 Defined cases: a null text is one empty line, like an empty one; a null id counts as one document after all others; rows
 that share an id are one document, so their common lines are kept in each; a document that loses all lines keeps an empty
@@ -27,10 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.llm.frames import named, partitions, staged
+from cohortloom.operators.duplicates import bloom_filter, bloom_mask, bloom_slot
 
 SHORTEST = 10
 #: Keys of a shard at most, on average; a shard's arrays take about 21 bytes a key.
 SHARD_KEYS = 500_000
+#: Words of the Bloom filter of documents that lose lines, about 50 bytes each when broadcast.
+FILTER_WORDS = 1 << 18
 LAST_ID = (1 << 63) - 1
 _WHITE = b" \t\n\x0b\x0c\r"
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -188,7 +194,17 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sho
     )
     keys = staged(keys_of(rows, shortest), "line-keys")
     lost = lost_keys(keys).groupBy("doc", "content").agg(F.collect_set(F.struct("high", "low")).alias("lost"))
-    joined = rows.join(lost.hint("shuffle_hash"), ["doc", "content"], "left").select("__row", "text", "lost")
+    lost = staged(lost, "lost-lines")
+    own = F.xxhash64("doc", "content")
+    # At most a row a word of the filter.
+    words = F.broadcast(bloom_filter(lost.select(own.alias("own")), "own", FILTER_WORDS))
+    probed = rows.withColumn("__slot", bloom_slot(own, FILTER_WORDS)).join(words, "__slot", "left")
+    may_lose = F.coalesce(F.col("__word").bitwiseAND(bloom_mask(own)) == bloom_mask(own), F.lit(False))
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    whole = probed.where(~may_lose).select(
+        "__row", F.col("text").alias("kept"), n_lines.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")
+    )
+    joined = probed.where(may_lose).join(lost, ["doc", "content"], "left").select("__row", "text", "lost")
     counts = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
     schema = T.StructType([joined.schema["__row"], T.StructField("kept", T.StringType()), *counts])
 
@@ -212,7 +228,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sho
             columns += [pa.array(before, pa.int64()), pa.array(dropped, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return whole.union(joined.mapInArrow(run, schema))
 
 
 def _unsigned(table: pa.Table, name: str) -> np.ndarray:
