@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import itertools
 import json
 import os
 import re
@@ -45,7 +44,8 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers  # noqa: E402
 CACHE = 150_000
 #: Longer words, in characters, are not remembered, so that the dictionaries' bytes are bounded too.
 LONGEST = 100
-SLICE = 256
+#: Texts that are encoded together.
+SLICE = 1024
 
 
 @dataclass(frozen=True)
@@ -126,8 +126,7 @@ class Codec:
         for i, token in added.items():
             self.bytes_of[i] = token.content.encode()
         self.lengths = np.array([len(b) for b in self.bytes_of], "int64")
-        spelled = "|".join(re.escape(token.content) for token in added.values())
-        self.spells_added = re.compile(spelled).search if spelled else lambda _: None
+        self.added = [token.content for token in added.values()]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -135,7 +134,7 @@ class Codec:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. One that spells an added token goes to the library whole."""
-        special = [k for k, text in enumerate(texts) if self.spells_added(text)]
+        special = [k for k, text in enumerate(texts) if any(token in text for token in self.added)]
         if not special:
             return self._encode_plain(texts)
         chosen = set(special)
@@ -157,13 +156,10 @@ class Codec:
         coded = words.filter(pa.array(after)).dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         fresh = [word for word in distinct if word not in self.words]
-        # The pattern cuts before each word's space, and a word holds no other.
-        pieces = self.split(" " + " ".join(fresh)) if fresh else []
-        learned = self._learn([pieces, *heads])
-        begins = [k for k, piece in enumerate(pieces) if piece[0] == " "]
-        spans = zip(fresh, itertools.pairwise([*begins, len(pieces)]), strict=True)
+        # The pattern cuts before each word's space, so a word with it is encoded alone as within its text.
+        self.words.update(zip(fresh, self._encoded([f" {word}" for word in fresh]), strict=True))
+        learned = self._learn(heads)
         known = self.pieces.__getitem__
-        self.words.update((word, b"".join(map(known, pieces[a:b]))) for word, (a, b) in spans)
         ids, edges = _looked_up([self.words[word] for word in distinct], coded.indices.to_numpy())
         edges = edges[starts - np.arange(len(starts))]  # each text has one head among its words
         encoded = [
@@ -177,11 +173,13 @@ class Codec:
     def _learn(self, lists: list[list[str]]) -> list[str]:
         """Have the library encode the pieces that are not known yet, and return these."""
         fresh = list({piece for pieces in lists for piece in pieces}.difference(self.pieces))
-        encodings = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False) if fresh else []
-        found = (encoding.ids for encoding in encodings)
-        self.pieces.update((p, struct.pack(f"<{len(ids)}I", *ids)) for p, ids in zip(fresh, found, strict=True))
+        self.pieces.update(zip(fresh, self._encoded(fresh), strict=True))
         return fresh
 
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (encoding.ids for encoding in encodings)]
+
     def decode(self, ids: np.ndarray) -> bytes:
         ids = ids[(ids >= 0) & (ids < len(self.bytes_of))]
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
