@@ -120,6 +120,8 @@ def partitions(spark: SparkSession) -> int:
 
 
 def cut(frame: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder; Spark removes it when nothing refers to it any more."""
+    """A reliable checkpoint in the shared folder. Spark removes it when nothing refers to it any more, if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set; else it stays.
+    """
     ensure_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint()

@@ -12,7 +12,7 @@
 
 No source is gathered or sorted: the rank at which a source is full is found by two sums over 4,096 intervals of the rank
 and, in the one interval of 2^24 that is left, row by row. Sources' own rows (one each) meet in one task for the targets.
-Texts are read once and never shuffled.
+Texts are never shuffled; they are read for their sizes, and by `mixed` once more for the mix itself.
 
 Defined cases: a null text has no words; null sources are one source, last in order; a document without words follows the
 same ranks and adds none; a source without words has target 0; rows alike in id, source and text share one rank, so they
