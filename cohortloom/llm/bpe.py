@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.frames import named, unpacked
+from cohortloom.llm.frames import mapped
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
@@ -254,11 +254,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> D
 
 def _mapped(frame: DataFrame, value: str, step: Step, made: dict[str, T.DataType]) -> DataFrame:
     """Apply a step from ``(__row, value)`` to ``(__row, *made)``; ``__row`` holds all columns that stay as they are."""
-    others = [name for name in frame.columns if name != value and name not in made]
-    row = F.struct(F.lit(True).alias("__any"), *[named(name) for name in others]).alias("__row")
-    packed = frame.select(row, named(value).alias("value"))
-    fields = [packed.schema["__row"], *(T.StructField(name, kind) for name, kind in made.items())]
-    return packed.mapInArrow(step, T.StructType(fields)).select(*unpacked(others), *made)
+    return mapped(frame, {"value": value}, ["value"], step, made, used_up=(value,))
 
 
 def _encoding(vocabulary: Vocabulary, offsets: bool) -> Step:

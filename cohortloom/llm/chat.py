@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.frames import named, partitions
+from cohortloom.llm.frames import inputs, partitions
 
 OPEN, CLOSE = "### ", "\n</turn>\n"
 LOSS_ROLE = "assistant"
@@ -109,11 +109,11 @@ def format_turns(turns: list[Turn]) -> tuple[str, list[tuple[int, int]], int]:
 
 def format_chats(turns: DataFrame) -> DataFrame:
     """``(conv_id, part, formatted, loss, escaped)`` from rows of ``conv_id, turn, role, text``."""
-    rows = turns.select(
-        named("conv_id").cast("long").alias("conv_id"),
-        named("turn").cast("long").alias("turn"),
-        F.coalesce(named("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(named("text").cast("string"), F.lit("")).alias("text"),
+    rows = inputs(turns, "conv_id", "turn", "role", "text").select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     ordered = rows.repartition(partitions(turns.sparkSession), "conv_id").sortWithinPartitions(
         "conv_id", "turn", "role", "text"

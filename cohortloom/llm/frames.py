@@ -17,14 +17,15 @@ __all__ = [
     "WORD",
     "apart",
     "cut",
+    "fields",
+    "inputs",
     "mapped",
-    "named",
+    "packed",
     "partitions",
     "pieces",
     "scratch_path",
     "staged",
     "unpacked",
-    "whole_row",
 ]
 
 Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -35,18 +36,40 @@ WHITE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def named(name: str) -> Column:
-    """The column of exactly this name, also where it holds dots or backticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def fields(names: list[str]) -> list[str]:
+    """Names for the fields of a packed row: as given, but of columns alike in all but case only one keeps its name.
+
+    That is the one in lower case, or else the first; the others get their position as well.
+    """
+    keeps: dict[str, int] = {}
+    for k, name in enumerate(names):
+        if name.lower() not in keeps or name == name.lower() != names[keeps[name.lower()]]:
+            keeps[name.lower()] = k
+    return [name if keeps[name.lower()] == k else f"{name}#{k}" for k, name in enumerate(names)]
 
 
-def whole_row(frame: DataFrame, alias: str = "__row") -> Column:
-    """All columns in one struct, so that columns an operator adds can't clash with them."""
-    return F.struct(*[named(name) for name in frame.columns]).alias(alias)
+def packed(frame: DataFrame, *inputs: str, but: tuple[str, ...] = ()) -> DataFrame:
+    """``__row``, a struct of all columns not named in ``but``, see :func:`fields`, and beside it the ``inputs``.
+
+    Columns are taken by position, so names that differ only in case, or hold dots, do no harm, and columns that an
+    operator adds can't clash with given ones.
+    """
+    names = frame.columns
+    gone = {position(names, name) for name in but}
+    at = frame.toDF(*[f"c{k}" for k in range(len(names))])
+    row = [F.col(f"c{k}").alias(name) for k, name in enumerate(fields(names)) if k not in gone]
+    packed_row = F.struct(*row) if row else F.struct(F.lit(True).alias("any"))
+    return at.select(packed_row.alias("__row"), *[F.col(f"c{position(names, name)}").alias(name) for name in inputs])
 
 
 def unpacked(names: list[str], alias: str = "__row") -> list[Column]:
-    return [F.col(alias).getField(name).alias(name) for name in names]
+    return [F.col(alias).getField(field).alias(name) for name, field in zip(names, fields(names), strict=True)]
+
+
+def inputs(frame: DataFrame, *names: str) -> DataFrame:
+    """The columns of these names alone, taken by position."""
+    at = frame.toDF(*[f"c{k}" for k in range(len(frame.columns))])
+    return at.select(*[F.col(f"c{position(frame.columns, name)}").alias(name) for name in names])
 
 
 def position(names: list[str], name: str) -> int:

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.frames import named
+from cohortloom.llm.frames import inputs
 
 #: Words a worker remembers the hashes of; about 150 bytes each.
 CACHE = 300_000
@@ -74,13 +74,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, most: int
     Documents are chosen by a hash of their id, whatever the corpus's size, so reruns and lost tasks choose the same. Of
     several labels of one document the highest counts, of several texts the first in code point order.
     """
-    ids = named("doc_id").cast("long").alias("doc_id")
+    ids = F.col("doc_id").cast("long").alias("doc_id")
     given = labels.select(ids, label.cast("int").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
     given = given.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 40))
     share = min(1.0, most / max(given.count(), 1))
     chosen = given.withColumn("place", place).where(F.col("place") < round(share * (1 << 40)))
-    texts = docs.select(ids, F.coalesce(named("text").cast("string"), F.lit("")).alias("text"))
+    texts = inputs(docs, "doc_id", "text").select(ids, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # About ``most`` rows of 20 bytes, however large the tables.
     found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "place")
     return found.agg(F.min("text").alias("text"))

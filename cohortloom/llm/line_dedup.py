@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.frames import named, partitions, staged
+from cohortloom.llm.frames import packed, partitions, staged
 from cohortloom.operators.duplicates import bloom_filter, bloom_mask, bloom_slot
 
 SHORTEST = 10
@@ -184,11 +184,10 @@ def lost_keys(keys: DataFrame, shards: int | None = None) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shortest: int = SHORTEST) -> DataFrame:
     """``__row`` (the other columns as a struct), ``kept``, ``n_lines`` (before dropping) and ``n_dropped``."""
-    others = [named(name) for name in docs.columns if name != text]
-    full = F.coalesce(named(text).cast("string"), F.lit(""))
-    rows = docs.select(
-        F.struct(*others).alias("__row"),
-        F.coalesce(named(doc_id).cast("long"), F.lit(LAST_ID)).alias("doc"),
+    full = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = packed(docs, doc_id, text, but=(text,)).select(
+        "__row",
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("doc"),
         F.xxhash64(full).alias("content"),
         full.alias("text"),
     )

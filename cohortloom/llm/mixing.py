@@ -11,12 +11,15 @@
    inclusion close to its probability.
 
 No source is gathered or sorted: the rank at which a source is full is found by two sums over 4,096 intervals of the rank
-and, in the one interval of 2^24 that is left, row by row. Sources' own rows (one each) meet in one task for the targets.
-Texts are never shuffled; they are read for their sizes, and by `mixed` once more for the mix itself.
+and, in the one interval of 2^24 that is left, rank by rank. Sources' own rows (one each) meet in one task for the targets.
+Texts are read for their sizes, and by `mixed` once more for the mix itself. They are shuffled only where rows of one rank
+are taken in part.
 
 Defined cases: a null text has no words; null sources are one source, last in order; a document without words follows the
-same ranks and adds none; a source without words has target 0; rows alike in id, source and text share one rank, so they
-are taken together; an empty table gives an empty table; other columns are not read.
+same ranks and adds none; a source without words has target 0; rows alike in id, source and text share one rank, and where
+that rank is the one at which the source is full, as many of them are taken as fit; which of them is open, and only other
+columns could tell; a text of any length is one row and read once for its size; an empty table gives an empty table; names
+may differ from others in case only; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.frames import WORD, named, staged, unpacked, whole_row
+from cohortloom.llm.frames import WORD, packed, staged, unpacked
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -39,21 +42,25 @@ _SIDE = 4096
 
 @dataclass(frozen=True)
 class Mix:
-    """``rates``: expected copies by source and size class. ``cuts``: the rank at which each source is full."""
+    """``rates``: expected copies by source and size class. ``cuts``: the rank at which each source is full.
+
+    ``split``: whether rows of one rank are taken in part anywhere, which only rows alike can be.
+    """
 
     rates: DataFrame
     cuts: DataFrame
     seed: int
+    split: bool
 
 
 def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``__row``, the source's key, the size in words, its class and the random number."""
-    text = F.coalesce(named("text").cast("string"), F.lit(""))
-    source = named("source").cast("string")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    source = F.col("source").cast("string")
     size = F.regexp_count(text, F.lit(WORD)).cast("long")
-    random = F.xxhash64(F.lit(seed), named("doc_id"), source, text)
-    return docs.select(
-        whole_row(docs),
+    random = F.xxhash64(F.lit(seed), "doc_id", source, text)
+    return packed(docs, "doc_id", "source", "text").select(
+        "__row",
         F.coalesce(F.concat(F.lit("="), source), F.lit("-")).alias("key"),
         size.alias("size"),
         ((F.shiftrightunsigned(random, 12) + 0.5) * 2.0**-52).alias("u"),
@@ -76,7 +83,9 @@ def plan(
         F.first("target").alias("target"), F.sum(F.col("words") * F.col("base")).alias("certain")
     )
     need = need.select("key", (F.col("target") - F.col("certain")).alias("need"))
-    return Mix(rates, staged(_cuts(ranked(rows.select("key", "size", "class", "u"), rates), need), "mix-cuts"), seed)
+    cuts = staged(_cuts(ranked(rows.select("key", "size", "class", "u"), rates), need), "mix-cuts")
+    split = not cuts.where("part_rows < part_of OR last_of > 1").isEmpty()
+    return Mix(rates, cuts, seed, split)
 
 
 def targets(classes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -126,7 +135,11 @@ def ranked(rows: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def _cuts(rows: DataFrame, need: DataFrame) -> DataFrame:
-    """``(key, cut_cell, cut, last)``: taken are cells below ``cut_cell``, in it ranks up to ``cut``, and rank ``last``."""
+    """``(key, cut_cell, cut, part, part_rows, part_of, last, last_of)``, one row a source that has open places.
+
+    Taken are cells below ``cut_cell``, in it ranks up to ``cut``, of the ``part_of`` rows of rank ``part`` so many as
+    ``part_rows`` says, and of the ``last_of`` rows of rank ``last`` one.
+    """
     open_rows = rows.where("chance > 0").select("key", "size", "rank", "cell")
     outer = F.floor(F.col("cell") / _SIDE).cast("long")
     coarse = _crossing(open_rows.groupBy("key", outer.alias("at")).agg(F.sum("size").alias("words")), need)
@@ -137,24 +150,44 @@ def _cuts(rows: DataFrame, need: DataFrame) -> DataFrame:
         inside.groupBy("key", F.col("cell").alias("at")).agg(F.sum("size").alias("words")), coarse.select("key", "need")
     )
     fine = staged(fine, "mix-fine")
-    last = open_rows.join(fine, "key").where("cell = at")
-    filled = F.sum("size").over(Window.partitionBy("key").orderBy("rank"))  # rows of one rank count together
-    tried = last.withColumn("filled", filled).select(
-        "key", "at", "need", F.when(F.col("filled") <= F.col("need"), F.struct("rank", "filled")).alias("end")
+    # A row a rank, so that a window never meets all rows alike.
+    alike = open_rows.join(fine, "key").where("cell = at").groupBy("key", "at", "need", "rank")
+    alike = alike.agg(F.max("size").alias("size"), F.sum("size").alias("words"))
+    filled = F.sum("words").over(Window.partitionBy("key").orderBy("rank"))
+    fits = F.col("filled") <= F.col("need")
+    ends = alike.withColumn("filled", filled).groupBy("key", "at", "need").agg(
+        F.max(F.when(fits, F.struct("rank", "filled"))).alias("end"),
+        F.min(F.when(~fits, F.struct("rank", "size"))).alias("next"),
     )
-    ends = tried.groupBy("key", "at").agg(F.max("end").alias("end"), F.first("need").alias("need"))
+    left = F.col("need") - F.coalesce("end.filled", F.lit(0))
+    part_rows = F.coalesce(F.floor(left / F.col("next.size")), F.lit(0)).cast("long")
     cuts = ends.select(
         "key",
         F.col("at").alias("cut_cell"),
         F.coalesce("end.rank", F.lit(-1.0)).alias("cut"),
-        (F.col("need") - F.coalesce("end.filled", F.lit(0))).alias("left"),
+        F.col("next.rank").alias("part"),
+        part_rows.alias("part_rows"),
+        (left - part_rows * F.coalesce("next.size", F.lit(0))).alias("left"),
     )
     cuts = staged(cuts, "mix-ends")
     # The last place of a source goes to the document beyond the cut that fills the words left open best.
     beyond = open_rows.join(cuts, "key").where(~_below_cut())
     off = F.abs(F.col("left") - F.col("size"))
     nearest = beyond.where(off < F.col("left")).groupBy("key").agg(F.min(F.struct(off.alias("off"), "rank")).alias("x"))
-    return cuts.join(nearest, "key", "left").select("key", "cut_cell", "cut", F.col("x.rank").alias("last"))
+    cuts = staged(cuts.join(nearest.select("key", F.col("x.rank").alias("last")), "key", "left"), "mix-places")
+    same = F.coalesce(F.col("last") == F.col("part"), F.lit(False))
+    places = cuts.select(
+        "key",
+        "cut_cell",
+        "cut",
+        "part",
+        (F.col("part_rows") + same.cast("long")).alias("part_rows"),
+        F.when(~same, F.col("last")).alias("last"),
+    )
+    at_part, at_last = F.col("rank") == F.col("part"), F.col("rank") == F.col("last")
+    held = open_rows.join(places, "key").where(at_part | at_last).groupBy("key")
+    held = held.agg(F.count_if(at_part).alias("part_of"), F.count_if(at_last).alias("last_of"))
+    return places.join(held, "key", "left").select(places["*"], "part_of", "last_of")
 
 
 def _below_cut() -> Column:
@@ -174,9 +207,34 @@ def _crossing(sums: DataFrame, need: DataFrame) -> DataFrame:
 def with_copies(rows: DataFrame, mix: Mix) -> DataFrame:
     """``sized`` rows with ``source_size``, ``target`` and ``copies``."""
     joined = ranked(rows, mix.rates).join(mix.cuts, "key", "left")
-    taken = F.coalesce(_below_cut(), F.lit(False)) | F.coalesce(F.col("rank") == F.col("last"), F.lit(False))
-    extra = F.when((F.col("chance") > 0) & taken, 1).otherwise(0)
-    return joined.withColumn("copies", (F.col("base") + extra).cast("int"))
+    is_open = F.col("chance") > 0
+    at_part, at_last = (is_open & F.coalesce(F.col("rank") == F.col(x), F.lit(False)) for x in ("part", "last"))
+    in_part = at_part & (F.col("part_rows") < F.col("part_of")) | at_last & (F.col("last_of") > 1)
+    whole = is_open & F.coalesce(_below_cut(), F.lit(False)) | at_part & (F.col("part_rows") > 0) | at_last
+
+    def counted(some: DataFrame, extra: Column) -> DataFrame:
+        return some.withColumn("copies", (F.col("base") + extra.cast("int")).cast("int"))
+
+    if not mix.split:
+        return counted(joined, whole)
+    numbered = _numbered(joined.where(in_part), ["key", "rank"])
+    places = F.when(at_part, F.col("part_rows")).otherwise(F.lit(1))
+    shared = counted(numbered, F.col("number") < places).drop("number")
+    return counted(joined.where(~in_part), whole).unionByName(shared)
+
+
+def _numbered(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The rows with their ``number``, from 0, among those alike in ``by``.
+
+    Rows are numbered within the part of the input that they came in, after those of earlier parts, so that no task meets
+    more of them than one task read.
+    """
+    dealt = staged(rows.withColumn("dealt", F.spark_partition_id()), "mix-alike")
+    counts = dealt.groupBy(*by, "dealt").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy(*by).orderBy("dealt")) - F.col("n")
+    own = F.row_number().over(Window.partitionBy(*by, "dealt").orderBy("size"))
+    found = dealt.withColumn("own", own).join(counts.select(*by, "dealt", earlier.alias("earlier")), [*by, "dealt"])
+    return found.withColumn("number", F.col("earlier") + F.col("own") - 1).drop("dealt", "own", "earlier")
 
 
 def mixed(docs: DataFrame, mix: Mix) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.frames import named
+from cohortloom.llm.frames import inputs
 from cohortloom.llm.hashed_text import Hashes, held_out, labelled_sample, paired, plain_words
 
 GRADES = 3
@@ -123,7 +123,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) -> M
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
     grade = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(toxic, 1).otherwise(2))
-    sample = labelled_sample(docs, labels, grade, settings.documents)
+    sample = labelled_sample(docs, inputs(labels, "doc_id", "quality", "toxic"), grade, settings.documents)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +173,8 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
             columns = [batch.column("doc_id"), pa.array(above.sum(axis=1)), pa.array(tail)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "expected_grade", "tail_probability"])
 
-    rows = docs.select(named("doc_id").cast("long").alias("doc_id"), named("text").cast("string").alias("text"))
+    given = inputs(docs, "doc_id", "text")
+    rows = given.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = rows.mapInArrow(run, "doc_id long, expected_grade double, tail_probability double")
     kept = F.col("tail_probability") >= settings.least_probability
     return scored.select(

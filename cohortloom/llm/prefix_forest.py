@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.frames import cut, named
+from cohortloom.llm.frames import cut, inputs
 
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -54,8 +54,9 @@ class Settings:
 
 def usable(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``(vec_id, embedding)`` of the rows that take part, components as doubles."""
-    vector = F.transform(named(embedding), lambda x: x.cast("double"))
-    chosen = rows.select(named(vec_id).cast("long").alias("vec_id"), vector.alias("embedding"))
+    given = inputs(rows, vec_id, embedding).toDF("vec_id", "embedding")
+    vector = F.transform("embedding", lambda x: x.cast("double"))
+    chosen = given.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("embedding"))
 
     def is_finite(x: Column) -> Column:
         return F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.fence import fence
-from cohortloom.llm.frames import WHITE, named, unpacked, whole_row
+from cohortloom.llm.frames import WHITE, packed, unpacked
 
 #: Frequent function words of English, French, German and Spanish prose.
 STOP_WORDS = (
@@ -74,9 +74,9 @@ def judged(
     docs: DataFrame, text: str = "text", thresholds: tuple[Threshold, ...] = THRESHOLDS
 ) -> DataFrame:
     """``__row`` (the given row as a struct), the counts, ``base_failed`` and ``kept``."""
-    row = whole_row(docs)
-    full = F.coalesce(named(text).cast("string"), F.lit(""))
-    split = docs.select(row, full.alias("full"), F.btrim(full, F.lit(WHITE)).alias("trimmed")).select(
+    full = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    trimmed = F.btrim(full, F.lit(WHITE)).alias("trimmed")
+    split = packed(docs, text).select("__row", full.alias("full"), trimmed).select(
         "__row",
         "full",
         F.when(F.col("trimmed") == "", F.array().cast("array<string>"))

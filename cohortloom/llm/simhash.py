@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.components import components
-from cohortloom.llm.frames import named, partitions, staged
+from cohortloom.llm.frames import inputs, packed, partitions, staged, unpacked
 
 SEED = 42
 BITS = 64
@@ -51,7 +51,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             prints = fingerprints_of(batch.column("text").to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints)], names=["doc_id", "fingerprint"])
 
-    rows = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"))
+    given = inputs(docs, doc_id, text).toDF("doc_id", "text")
+    rows = given.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, fingerprint long")
 
 
@@ -117,7 +118,8 @@ def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFra
     """The documents whose id is the smallest of their group, and rows without id; all columns as given."""
     found = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
     gone = staged(found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct(), "copies")
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    rows = packed(docs, "doc_id")
+    return rows.join(gone, rows["doc_id"] == gone["__gone"], "left_anti").select(*unpacked(docs.columns))
 
 
 def block_masks(rows: int, max_bits: int) -> list[int]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.bpe import SLICE, Vocabulary, codec
-from cohortloom.llm.frames import named, partitions, scratch_path, staged
+from cohortloom.llm.frames import inputs, partitions, scratch_path, staged
 
 MANIFEST = "number int, tokens string, docs string, n_docs long, n_ids long"
 
@@ -47,9 +47,9 @@ def write_token_files(docs: DataFrame, vocabulary: Vocabulary, layout: Layout =
     """Write the files, by default to a new folder in the shared scratch space, and return the manifest."""
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-files")
-    rows = docs.select(
-        named("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(named("text").cast("string"), F.lit("")).alias("text"),
+    rows = inputs(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.xxhash64("text").alias("mixed"),
     )
     ranged = rows.repartitionByRange(partitions(spark), "doc_id", "mixed").sortWithinPartitions("doc_id", "mixed", "text")

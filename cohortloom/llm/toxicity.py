@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.frames import named
+from cohortloom.llm.frames import inputs
 from cohortloom.llm.hashed_text import StemHashes, held_out, labelled_sample, paired, plain_words
 
 _HASHES = StemHashes()
@@ -95,7 +95,7 @@ def sigmoid(x: np.ndarray | float) -> np.ndarray | float:
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Weights:
-    sample = labelled_sample(docs, labels, F.col("toxic"), settings.documents)
+    sample = labelled_sample(docs, inputs(labels, "doc_id", "toxic"), F.col("toxic"), settings.documents)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,6 +147,7 @@ def score(docs: DataFrame, weights: Weights, settings: Settings = Settings()) ->
             columns = [batch.column("doc_id"), pa.array(sigmoid(np.array(sums, "float64")))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score"])
 
-    rows = docs.select(named("doc_id").cast("long").alias("doc_id"), named("text").cast("string").alias("text"))
+    given = inputs(docs, "doc_id", "text")
+    rows = given.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = rows.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")

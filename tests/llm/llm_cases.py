@@ -43,5 +43,13 @@ def with_clashes(spark):
     return docs(spark).select("*", *[F.lit("x").alias(name) for name in names])
 
 
+def alike(frame):
+    """The same, each column between two others whose names differ from its own in case only."""
+    from pyspark.sql import functions as F
+
+    doubled = [(x, c) for x in frame.columns for c in (F.lit(7).alias(x.title()), F.col(x), F.lit("no").alias(x.upper()))]
+    return frame.select(*[c for _, c in doubled])
+
+
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)

@@ -94,3 +94,28 @@ def test_cases(spark):
     assert taken(cases.empty(spark)) == []
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert [(r.target, r.copies * r.size) for r in taken(blank)] == [(0.0, 0), (0.0, 0)]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_rows_alike_meet_the_target(spark, parts):
+    """A hot group of rows alike in every column is taken in part, whatever tasks it came in."""
+    rows = [(1, "w " * 20, "a")] * 300 + [(k, f"v{k} " * 20, "a") for k in range(2, 22)]
+    rows += [(k, f"x{k} " * 50, "b") for k in range(100, 200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+    got = taken(frame)
+    for source in "ab":
+        own = [r for r in got if r.source == source]
+        assert sum(r.copies * r.size for r in own) == pytest.approx(own[0].target, rel=0.01)
+    assert len(got) == len(rows) and all(0 <= r.copies <= 2 for r in got)
+    again = taken(frame.repartition(3))
+    assert sorted((r.doc_id, r.copies) for r in again) == sorted((r.doc_id, r.copies) for r in got)
+    out = mixing.mixed(frame, mixing.plan(mixing.sized(frame)))
+    assert out.columns == frame.columns and out.count() == sum(r.copies for r in got)
+
+
+def test_names_alike_but_for_case(spark):
+    frame = cases.alike(spark.createDataFrame([(1, "a b c", "x"), (2, "d e", "y")], "doc_id long, text string, source string"))
+    got = mixing.sized(frame).select("__row.doc_id", "key", "size").collect()
+    assert sorted(map(tuple, got)) == [(1, "=x", 3), (2, "=y", 2)]
+    out = mixing.mixed(frame, mixing.plan(mixing.sized(frame)))
+    assert out.columns == frame.columns and {r[1] for r in out.collect()} <= {1, 2}
