@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.sources.scratch import ensure_checkpoint_dir, scratch_path, staged
+from cohortloom.sources.scratch import scratch_path, staged
 
 __all__ = [
     "WHITE",
@@ -143,8 +143,5 @@ def partitions(spark: SparkSession) -> int:
 
 
 def cut(frame: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder. Spark removes it when nothing refers to it any more, if
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set; else it stays.
-    """
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint()
+    """The frame without its lineage: a table in the shared folder, which goes with the scope that it was made in."""
+    return staged(frame, "cut")

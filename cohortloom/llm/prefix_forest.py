@@ -2,9 +2,10 @@
 
 Each tree gives a vector a long string of bits, the signs of its products with the tree's own random directions, and
 keeps the strings in sorted order, so all strings that share a prefix with a query lie in one run. A search descends every
-tree to the longest prefix that the query shares with any string, then ascends in all trees at once, a bit at a time, until
-the runs together hold enough candidates; runs are taken whole. Candidates are scored exactly, in double precision, on
-the original vectors.
+tree to the longest prefix that the query shares with any string, which one of its two neighbours in sorted order has, then
+ascends in all trees at once, a bit at a time, from the deepest of these matches until the runs together hold enough
+candidates; a tree joins in at the depth of its own match, and runs are taken whole. Candidates are scored exactly, in
+double precision, on the original vectors.
 
 The corpus is cut into blocks of ``block_rows`` vectors by a hash of the id and the stated queries into blocks of
 ``query_rows``; each pair of blocks is a group with a forest of its own, and only the nearest of each group meet again. So
@@ -14,10 +15,10 @@ that they take in runs can push others out; hot vectors are spread over the bloc
 
 Inner products are searched as angles: vectors get one more component that makes all of a block equally long.
 
-Defined cases: vectors that are null, empty, of another length than most of their block, zero, or hold null or non-finite
-components take no part, neither do rows without id; rows that share an id are searched and found once each; ties go to
-the smaller id; a query finds all candidates if there are fewer than ``k``; an empty table gives an empty table; other
-columns are not read.
+Defined cases: vectors that are null, empty, of another length than the most frequent one of the corpus (of two as frequent,
+the shorter), zero, or hold null or non-finite components take no part, neither do rows without id; rows that share an id
+are searched and found once each; ties go to the smaller id; a query finds all candidates if there are fewer than ``k``; an
+empty table gives an empty table; names may differ from others in case only; other columns are not read.
 """
 
 from __future__ import annotations
@@ -72,6 +73,10 @@ def search(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the nearest found of each of ``queries``; both frames come from ``usable``."""
     corpus, queries = cut(corpus), cut(queries)
+    length = F.size("embedding")
+    most = corpus.groupBy(length.alias("length")).count().orderBy(F.desc("count"), "length").first()
+    width = most["length"] if most else 0
+    corpus, queries = corpus.where(length == width), queries.where(length == width)
     blocks = max(1, -(-corpus.count() // settings.block_rows))
     query_blocks = max(1, -(-queries.count() // settings.query_rows))
 
@@ -126,23 +131,33 @@ class Forest:
         hashes = self._hashes(np.column_stack([queries / scale, np.zeros(len(queries))]))
         size, bits = len(self.order), self.settings.bits
         enough = max(self.settings.least, round(self.settings.candidates * size))
-        begin = np.zeros(hashes.shape, "int64")
-        end = np.full(hashes.shape, size, "int64")
-        climbing = np.arange(len(queries))
-        for shift in range(bits + 1):  # from whole strings up, in all trees at once
-            if not len(climbing):
+        matched = self.longest(hashes)
+        deepest = matched.max(axis=1)
+        begin, end = np.zeros(hashes.shape, "int64"), np.zeros(hashes.shape, "int64")
+        climbing = np.ones(len(queries), bool)
+        for depth in range(int(deepest.max(initial=0)), -1, -1):  # in all trees at once
+            shift = bits - depth
+            joined = climbing[:, None] & (matched >= depth)
+            for tree in np.flatnonzero(joined.any(axis=0)):
+                own = np.flatnonzero(joined[:, tree])
+                low = hashes[own, tree] >> shift << shift
+                begin[own, tree] = np.searchsorted(self.strings[:, tree], low, "left")
+                end[own, tree] = np.searchsorted(self.strings[:, tree], low + ((1 << shift) - 1), "right")
+            climbing &= (end - begin).sum(axis=1) < enough
+            if not climbing.any():
                 break
-            low = hashes[climbing] >> shift << shift
-            high = low + ((1 << shift) - 1)
-            a, b = np.empty(low.shape, "int64"), np.empty(low.shape, "int64")
-            for tree in range(hashes.shape[1]):
-                strings = self.strings[:, tree]
-                a[:, tree] = np.searchsorted(strings, low[:, tree], "left")
-                b[:, tree] = np.searchsorted(strings, high[:, tree], "right")
-            begin[climbing], end[climbing] = a, b
-            climbing = climbing[(b - a).sum(axis=1) < enough]
         return begin, end
 
+    def longest(self, hashes: np.ndarray) -> np.ndarray:
+        """For each hash string and tree, the bits of the longest prefix that it shares with any string of the tree."""
+        out = np.empty(hashes.shape, "int64")
+        for tree in range(hashes.shape[1]):
+            strings, own = self.strings[:, tree], hashes[:, tree]
+            at = np.searchsorted(strings, own)
+            near = [strings[np.clip(at + step, 0, len(strings) - 1)] ^ own for step in (-1, 0)]
+            out[:, tree] = self.settings.bits - np.frexp(np.minimum(*near).astype("float64"))[1]
+        return out
+
     def candidates(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         marked = np.zeros(len(self.order), bool)
         for tree, (a, b) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
@@ -155,7 +170,7 @@ def _searched(rows: pa.Table, wanted: pa.Table, settings: Settings) -> Iterator[
     if not rows.num_rows or not wanted.num_rows:
         return
     ids, vectors = _vectors(rows)
-    query_ids, queries = _vectors(wanted, vectors.shape[1])
+    query_ids, queries = _vectors(wanted)
     by_id = np.argsort(ids, kind="stable")
     ids, vectors = ids[by_id], vectors[by_id]
     distinct, member = np.unique(vectors, axis=0, return_inverse=True)
@@ -180,16 +195,10 @@ def _searched(rows: pa.Table, wanted: pa.Table, settings: Settings) -> Iterator[
             yield np.full(len(best), query_ids[at + k]), found[best], score[best]
 
 
-def _vectors(table: pa.Table, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of the given length, or of the most frequent one."""
-    column = table.column("embedding").combine_chunks()
-    ids = table.column("vec_id").to_numpy()
-    lengths = np.array(column.value_lengths())
-    if width is None:
-        width = int(np.bincount(lengths).argmax())
-    fit = lengths == width
-    values = column.filter(pa.array(fit)).flatten().to_numpy(zero_copy_only=False)
-    return ids[fit], values.reshape(-1, width)
+def _vectors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors, all of one length."""
+    values = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return table.column("vec_id").to_numpy(), values.reshape(table.num_rows, -1)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> float:

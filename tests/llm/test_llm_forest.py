@@ -64,3 +64,31 @@ def test_odd_rows(spark):
     rows += [(6, [1.0, 2.0, 3.0], "x")]
     assert searched(spark, rows) == {0: [(1, 0.5), (2, 0.5)]}
     assert searched(spark, []) == {} and searched(spark, [(0, [1.0], "x")]) == {}
+
+
+def test_descent_and_ascent():
+    """The longest matches equal those against every string; ascent adds no level beyond the first that is enough."""
+    settings = forest.Settings(trees=6, bits=12, least=40, candidates=0.0)
+    x = vectors(500).astype("float64")
+    own = forest.Forest(x[:400], settings)
+    lift = np.zeros((100, 1))
+    hashes = own._hashes(np.hstack([x[400:] / np.linalg.norm(x[400:], axis=1)[:, None], lift]))
+    longest = own.longest(hashes)
+    begin, end = own.runs(x[400:])
+    for k, tree in np.ndindex(longest.shape):
+        shared = [12 - int(int(s) ^ int(hashes[k, tree])).bit_length() for s in own.strings[:, tree]]
+        assert longest[k, tree] == max(shared)
+    for k in range(100):
+        per_depth = {
+            d: sum(12 - int(int(s) ^ int(h)).bit_length() >= d for t, h in enumerate(hashes[k]) for s in own.strings[:, t])
+            for d in range(13)
+        }
+        depth = max(d for d, n in per_depth.items() if n >= 40)
+        assert (end[k] - begin[k]).sum() == per_depth[depth]
+
+
+def test_one_length_takes_part(spark):
+    """The corpus's most frequent length, whichever block its rows are in."""
+    rows = [(k, [1.0 + k, 1.0], "x") for k in range(30)] + [(k, [1.0, 1.0, 1.0], "x") for k in range(30, 55)]
+    few = searched(spark, rows, forest.Settings(block_rows=4, query_rows=2))
+    assert few == searched(spark, rows) and set(few) == {0, 20} and all(i < 30 for i, _ in few[0] + few[20])
