@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -57,5 +57,18 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _MADE.reset(token)
         for path in made:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+    """What ``build`` gives as a scratch table, and its path; what was staged on the way there is removed."""
+    path = scratch_path(spark, name)
+    with scratch_scope(spark):
+        frame = build()
+        frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path), path
