@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import normalizers as N
 from cohortloom.functions.text import is_blank, normalize_text
-from cohortloom.operators.audit import audit_deliveries, delivered_columns, expected_columns, uncovered_studies
+from cohortloom.operators.audit import audit_deliveries, expected_columns, uncovered_studies
 from cohortloom.operators.crosswalk import MAPPINGS, get_mapping, harmonize, harmonize_many, union_studies
 from cohortloom.operators.duplicates import mark_duplicates
 from cohortloom.operators.rules import RULES, Severity, rules_named
@@ -179,12 +179,12 @@ def mapping_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = {
         "GSE5281": cohort(spark, sf_dir, "GSE5281").withColumn("scanner_model", F.lit("x")),
         "GSE33000": cohort(spark, sf_dir, "GSE33000").withColumnsRenamed({"pmi": "post_mortem", "dx": "DX"}),
+        "GSE125583": cohort(spark, sf_dir, "GSE125583").where(F.lit(False)),
     }
     for study, frame in sent.items():
         frame.write.options(**CSV_OUT).csv(lake.path(BRONZE, FILES[study]))
-    frames = {study: lake.read_csv(BRONZE, FILES[study], multiline=False) for study in sent}
-    frames["GSE125583"] = cohort(spark, sf_dir, "GSE125583").where(F.lit(False))
-    audit = audit_deliveries(delivered_columns(spark, frames), expected_columns(spark, MAPPINGS.values()))
+    delivered = lake.headers(BRONZE, {study: FILES[study] for study in sent})
+    audit = audit_deliveries(delivered, expected_columns(spark, MAPPINGS.values()))
     return audit.withColumns({name: F.array_join(name, ",") for name in ("matched", "missing", "unmapped")})
 
 

@@ -61,7 +61,7 @@ def _header(spark: SparkSession, path: str) -> list[str]:
         raise ValueError(f"No header in {path}")
     cells = ["" if name is None else name for name in first]
     # With a line break inside the header, its "\n" is taken for the line end of a file that uses "\r\n".
-    return _distinct_names([*cells[:-1], cells[-1].removesuffix("\r")])
+    return distinct_names([*cells[:-1], cells[-1].removesuffix("\r")])
 
 
 def _has_text(line: Column) -> Column:
@@ -93,7 +93,7 @@ def _raise_headers(headers: list[tuple[str, str]]) -> None:
     raise ValueError(f"Files of one delivery have different headers: {told}")
 
 
-def _distinct_names(header: list[str]) -> list[str]:
+def distinct_names(header: list[str]) -> list[str]:
     """Header cells as column names: empty ones by position, repeated ones numbered (``a``, ``a.1``)."""
     names: list[str] = []
     taken = set(header)

@@ -8,6 +8,7 @@ object stores cannot do at once.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from cohortloom.schema import MANIFEST_SCHEMA, QUARANTINE_SCHEMA, SILVER_SCHEMA
 from cohortloom.sources.delimited import read_delimited
+from cohortloom.sources.headers import delivered_headers
 
 BRONZE = "bronze"
 SILVER = "silver"
@@ -57,6 +59,10 @@ class Lake:
     def read_csv(self, layer: str, relative: str, multiline: bool | None = None) -> DataFrame:
         return read_delimited(self.spark, self.path(layer, relative), multiline)
 
+    def headers(self, layer: str, sources: Mapping[str, str]) -> DataFrame:
+        """``(study_id, column_name)`` of many deliveries, by one job."""
+        return delivered_headers(self.spark, {study: self.path(layer, path) for study, path in sources.items()})
+
     def write_run(self, frame: DataFrame, layer: str, run_id: str, attempt: str, table: str = SAMPLES) -> str:
         """Write a table of one attempt at a run. Gives the location; readers see it once the manifest is written.
 

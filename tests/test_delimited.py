@@ -8,7 +8,7 @@ import random
 import pyarrow as pa
 import pytest
 
-from cohortloom.sources.delimited import _Blocks, _distinct_names, _quotes, _states, read_delimited
+from cohortloom.sources.delimited import _Blocks, _quotes, _states, distinct_names, read_delimited
 
 
 def write(path, rows, **options):
@@ -76,7 +76,7 @@ def test_long_rows_stop_the_job(spark, tmp_path, multiline):
 
 
 def test_header_names(spark, tmp_path):
-    assert _distinct_names(["a", "a", "", "a.1", "a"]) == ["a", "a.2", "Unnamed: 2", "a.1", "a.3"]
+    assert distinct_names(["a", "a", "", "a.1", "a"]) == ["a", "a.2", "Unnamed: 2", "a.1", "a.3"]
     (tmp_path / "a.csv").write_text('﻿Sex,sex,a.b,"two\nlines"\nF,M,1,2\n', encoding="utf-8")
     assert read(spark, str(tmp_path / "a.csv")) == (["Sex", "sex", "a.b", "two\nlines"], [("F", "M", "1", "2")])
 

@@ -1,0 +1,84 @@
+"""Headers of many deliveries, found by one job."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import FILES, RAW
+
+from cohortloom import MAPPINGS
+from cohortloom.operators.audit import audit_deliveries, expected_columns
+from cohortloom.sources.delimited import read_delimited
+from cohortloom.sources.headers import delivered_headers
+from cohortloom.sources.lake import BRONZE
+
+BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+def found(spark, paths):
+    names = {study: set() for study in paths}
+    for row in delivered_headers(spark, paths).collect():
+        assert row.column_name not in names[row.study_id]
+        names[row.study_id].add(row.column_name)
+    return names
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a,b,c\n1,2,3\n",
+        "a,b,c",
+        "\ufeffa,b\r\n1,2\r\n",
+        "\n\n\na,b\n1,2\n",
+        'a,"b\nb",c\n1,2,3\n',
+        'a,"b, ""quoted""",c\n1,2,3\n',
+        'a,5" probe,c\n1,2,3\n',
+        '"",a,a,"x"\n1,2,3,4\n',
+        "a,,b,,\n1,2,3,4,5\n",
+    ],
+)
+def test_named_as_the_reader_names_them(spark, tmp_path, text):
+    (tmp_path / "x.csv").write_bytes(text.encode())
+    path = str(tmp_path / "x.csv")
+    assert found(spark, {"S": path}) == {"S": set(read_delimited(spark, path).columns)}
+
+
+def test_only_headers_are_read(spark, tmp_path):
+    """Blocks behind the first do not count, also not where a line of theirs looks like a header."""
+    path = tmp_path / "long.csv"
+    path.write_text("a,b\n" + 'x,"y\ny"\n' + "p,q\n" * 200_000)
+    (tmp_path / "folder").mkdir()
+    for k in range(5):
+        (tmp_path / "folder" / f"{k}.csv").write_text("c,d\n" + "1,2\n" * (k * 1000))
+    (tmp_path / "none.csv").write_text("")
+    before = spark.conf.get(BYTES)
+    spark.conf.set(BYTES, "20000")
+    try:
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 1
+        paths = {"L": str(path), "F": str(tmp_path / "folder"), "N": str(tmp_path / "none.csv")}
+        assert found(spark, paths) == {"L": {"a", "b"}, "F": {"c", "d"}, "N": set()}
+    finally:
+        spark.conf.set(BYTES, before)
+    assert found(spark, {}) == {}
+
+
+def test_a_quote_that_never_closes(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,"b\n1,2\n')
+    with pytest.raises(Exception, match="never closes"):
+        found(spark, {"S": str(tmp_path / "x.csv")})
+
+
+def test_one_job_for_a_catalogue(spark, lake):
+    """However many deliveries there are, their headers take one job, with one more stage for distinct pairs."""
+    paths = {study: lake.path(BRONZE, FILES[study]) for study in RAW}
+    many = paths | {f"copy {k}": paths["GSE5281"] for k in range(60)}
+    context = spark.sparkContext
+    jobs = {}
+    for name, some in {"few": paths, "many": many}.items():
+        context.setJobGroup(f"headers {name}", name)
+        names = found(spark, some)
+        jobs[name] = len(context.statusTracker().getJobIdsForGroup(f"headers {name}"))
+        assert names == {study: set(RAW[study if study in RAW else "GSE5281"]) for study in some}
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs["few"] == jobs["many"]
+    audit = audit_deliveries(lake.headers(BRONZE, FILES), expected_columns(spark, MAPPINGS.values()))
+    assert {row.study_id: row.is_complete for row in audit.collect()} == dict.fromkeys(MAPPINGS, True)
