@@ -2,7 +2,7 @@
 
 Each normalizer has two steps. ``stage`` runs the costly text work once per cell; ``finish`` reads the staged columns
 several times (range tests, vocabulary branches) to give the value. :func:`normalize_cells` puts the two steps in
-separate projections with a fence between them, so a regex never gets copied into every branch.
+separate projections and binds what is staged between them, so a regex never gets copied into every branch.
 
 No normalizer raises: text that cannot be read gives NULL (or the vocabulary's own "unknown").
 """
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.fence import fence
+from cohortloom.functions.fence import bound
 from cohortloom.functions.text import (
     ANY_SPACE,
     ascii_digits,
@@ -238,7 +238,7 @@ def age_censored(value: Column) -> Column:
     return normalize_age.finish(normalize_age.stage(value))["censored"]
 
 
-# Fields per projection: what fits one stretch of compiled code, see :func:`fence`.
+# Fields per projection: what fits one method of generated code, which the JVM compiles up to 8,000 bytes.
 _FIELDS_AT_ONCE = 4
 
 
@@ -256,17 +256,18 @@ def normalize_cells(
     pending: dict[str, Column] = {}
     for at in range(0, len(names), _FIELDS_AT_ONCE):
         group, later = names[at : at + _FIELDS_AT_ONCE], names[at + _FIELDS_AT_ONCE :]
-        staged: list[Column] = []
+        staged: dict[str, Column] = {}
         finishing: dict[str, Column] = {}
         for name in group:
             raw, kind = cells[name]
             parts = NORMALIZERS[kind].stage(F.col(raw))
-            staged += [expr.alias(_part(name, part, "s")) for part, expr in parts.items()]
+            staged |= {_part(name, part, "s"): expr.alias(_part(name, part, "s")) for part, expr in parts.items()}
             finished = NORMALIZERS[kind].finish({part: F.col(_part(name, part, "s")) for part in parts})
             finishing |= {_part(name, part, "v"): expr.alias(_part(name, part, "v")) for part, expr in finished.items()}
             outputs[name] = {part: F.col(_part(name, part, "v")) for part in finished}
         raws = {cells[name][0] for name in later} - set(keep)
-        frame = fence(frame.select(*carried, *pending.values(), *(F.col(raw) for raw in sorted(raws)), *staged))
+        given = frame.select(*carried, *pending.values(), *(F.col(raw) for raw in sorted(raws)), *staged.values())
+        frame = bound(given, [*pending, *staged])
         carried += [F.col(alias) for alias in pending]
         pending = finishing
     return frame.select(*carried, *pending.values()), outputs
@@ -281,9 +282,9 @@ def normalize_columns(
 ) -> Callable[[DataFrame], DataFrame]:
     """``df.transform(normalize_columns({"age": "age", "dx": "diagnosis"}))``: normalize columns in place.
 
-    Other columns pass through. An age column also gives ``<column>_censored``, right after it. The fences between the
-    steps stop filters that are put on the result, so a filter on the given columns goes into ``where``: it reaches the
-    scan, and rows that it drops are never normalized.
+    Other columns pass through, and so do filters on them that are put on the result: they reach the scan, and rows that
+    they drop are never normalized. Filters on a normalized column read what was normalized once. ``where`` is a filter on
+    the columns as given, for conditions on raw cells. An age column also gives ``<column>_censored``, right after it.
     """
 
     def transform(frame: DataFrame) -> DataFrame:

@@ -166,5 +166,39 @@ def test_filters_on_other_columns_reach_the_scan(spark, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "EqualTo(id,4)" in plan
     assert [(r.id, r.age, r.day) for r in kept.collect()] == [("4", 44.0, 1)]
-    plan = kept.where("sex = 'F' AND age > 1")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("older") == 1
+
+
+def test_filters_on_the_result_reach_the_scan(spark, tmp_path):
+    rows = [(str(k), f"{40 + k}", "F" if k < 6 else None, k % 3) for k in range(9)]
+    frame = spark.createDataFrame(rows, "id string, age string, sex string, day int")
+    frame.write.partitionBy("day").parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t")).transform(N.normalize_columns({"age": "age", "sex": "sex"}))
+
+    kept = table.where("day = 1 AND id = '4' AND sex = 'F' AND age > 1")
+    execution = kept._jdf.queryExecution()
+    plan = execution.executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "EqualTo(id,4)" in plan
+    optimized = execution.optimizedPlan().toString()
+    assert optimized.count("older") == 1 and "CollectMetrics" not in optimized
+    assert [(r.id, r.age, r.day) for r in kept.collect()] == [("4", 44.0, 1)]
+
+    pruned = table.where("id > '2'").select("age")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:string,age:string>" in pruned
+    assert table.count() == 9 and {r.sex for r in table.select("sex").collect()} == {"F", "unknown"}
+
+
+def test_more_fields_than_one_projection_holds(spark):
+    """Finished fields of one projection pass the next ones; rows without any value stay rows."""
+    kinds = {"a": "age", "s": "sex", "d": "diagnosis", "b": "braak", "c": "cerad", "p": "apoe", "f": "float", "t": "text"}
+    rows = [("94", "m", "AD", "IV", "sparse", "34", "7,2", " x  y "), (None,) * 8]
+    frame = spark.createDataFrame(rows, ", ".join(f"{name} string" for name in kinds))
+    out = frame.transform(N.normalize_columns(kinds))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [
+            (90.0, True, "M", "AD", 4, 1, "E3/E4", 7.2, "x y"),
+            (None, False, "unknown", "UNKNOWN", None, None, None, None, None),
+        ],
+        key=str,
+    )
+    assert [r.p for r in out.where("a > 1 AND a_censored AND p = 'E3/E4' AND f > 7").collect()] == ["E3/E4"]
+    assert out.where("a IS NULL").count() == 1 and out.unionByName(out).join(out, "t").count() == 2
