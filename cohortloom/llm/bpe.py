@@ -2,9 +2,10 @@
 
 The vocabulary is broadcast by path only: each Python worker opens the file once and keeps the tokenizer. A text is cut
 where the split pattern always cuts (before a space that a word follows), so equal words are encoded once per worker: Arrow
-finds the distinct words of some texts, two bounded dictionaries hold the ids of frequent words and pieces, the library
-encodes what they lack. Nothing is shuffled;
-a task holds one Arrow batch.
+finds the distinct words of some texts, two bounded dictionaries hold the ids of frequent words (Arrow and numpy arrays, no
+Python object a word) and pieces, the library encodes what they lack. For the same reason unknown words go to the library many in one text, and the ids are dealt back by
+the bytes of their tokens; where these do not end with every word, words are encoded one by one. Nothing is shuffled; a task
+holds one Arrow batch.
 
 Byte-to-character mapping: byte-level tokens may begin or end inside a character. Offsets are therefore made from the
 tokens' byte lengths and the positions of the text's leading bytes: a token's span covers each character of which it holds
@@ -40,12 +41,14 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers  # noqa: E402
 
-#: Words, and pieces of words, that a worker remembers; about 200 bytes each.
+#: Words, and pieces of words, that a worker remembers; about 40 bytes a word, and 200 a piece.
 CACHE = 150_000
 #: Longer words, in characters, are not remembered, so that the dictionaries' bytes are bounded too.
 LONGEST = 100
 #: Texts that are encoded together.
 SLICE = 1024
+#: Unknown words that the library gets as one text.
+JOINED = 1024
 
 
 @dataclass(frozen=True)
@@ -111,7 +114,10 @@ class Codec:
     cache: int = CACHE
     #: The library as it comes, for texts that spell one of its added tokens; None if these are ordinary text.
     whole: Tokenizer | None = None
-    words: dict[str, bytes] = field(default_factory=dict)
+    #: Known words, the ids of all of them one after the other, and each one's number of ids.
+    words: pa.Array = field(default_factory=lambda: pa.array([], pa.string()))
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, "<u4"))
+    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, "int64"))
     pieces: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -154,19 +160,14 @@ class Codec:
         after = np.ones(len(words), bool)
         after[starts[:-1]] = False
         coded = words.filter(pa.array(after)).dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        fresh = [word for word in distinct if word not in self.words]
-        # The pattern cuts before each word's space, so a word with it is encoded alone as within its text.
-        self.words.update(zip(fresh, self._encoded([f" {word}" for word in fresh]), strict=True))
         learned = self._learn(heads)
         known = self.pieces.__getitem__
-        ids, edges = _looked_up([self.words[word] for word in distinct], coded.indices.to_numpy())
+        ids, edges = _looked_up(*self._ids_of(coded.dictionary), coded.indices.to_numpy())
         edges = edges[starts - np.arange(len(starts))]  # each text has one head among its words
         encoded = [
             b"".join(map(known, head)) + ids[a:b].tobytes()
             for head, a, b in zip(heads, edges[:-1].tolist(), edges[1:].tolist(), strict=True)
         ]
-        _shrink(self.words, fresh, self.cache)
         _shrink(self.pieces, learned, self.cache)
         return encoded
 
@@ -176,6 +177,56 @@ class Codec:
         self.pieces.update(zip(fresh, self._encoded(fresh), strict=True))
         return fresh
 
+    def _ids_of(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Some ids, and where in them the ids of each word, with a space before it, begin and how many they are."""
+        at = pc.index_in(distinct, value_set=self.words)
+        unknown = pc.is_null(at)
+        fresh = distinct.filter(unknown)
+        ids, counts = self._encoded_words(fresh)
+        every = np.concatenate([self.counts, counts])
+        begins = np.cumsum(every) - every
+        pool = np.concatenate([self.ids, ids])
+        at = at.fill_null(0).to_numpy().astype("int64")
+        at[unknown.to_numpy(zero_copy_only=False)] = np.arange(len(self.words), len(every))
+        self._remember(fresh, ids, counts)
+        return pool, begins[at], every[at]
+
+    def _remember(self, fresh: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Keep words while there is room, but very long ones: what comes first is frequent."""
+        room = self.cache - len(self.words)
+        if room <= 0 or not len(fresh):
+            return
+        short = pc.less_equal(pc.utf8_length(fresh), LONGEST).to_numpy(zero_copy_only=False)
+        short &= np.cumsum(short) <= room
+        self.words = pa.concat_arrays([self.words, fresh.filter(pa.array(short))])
+        self.ids = np.concatenate([self.ids, ids[np.repeat(short, counts)]])
+        self.counts = np.concatenate([self.counts, counts[short]])
+
+    def _encoded_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, each with a space before it, one after the other, and how many each has.
+
+        The pattern cuts before each word's space, so a word with it is encoded alone as within any text.
+        """
+        if not len(words):
+            return np.zeros(0, "<u4"), np.zeros(0, "int64")
+        groups = pa.ListArray.from_arrays(pa.array([*range(0, len(words), JOINED), len(words)], pa.int32()), words)
+        texts = [f" {text}" for text in pc.binary_join(groups, " ").to_pylist()]
+        sizes = pc.binary_length(words).to_numpy().astype("int64") + 1
+        found, counts = [], []
+        for k, encoding in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(encoding.ids, "<u4")
+            ends = np.cumsum(self.lengths[np.minimum(ids, len(self.lengths) - 1)])
+            edges = np.cumsum(sizes[k * JOINED : (k + 1) * JOINED])
+            last = np.searchsorted(ends, edges)  # the token that ends with the word
+            if len(ids) and last[-1] == len(ids) - 1 and np.array_equal(ends[last], edges):
+                counts.append(np.diff(last, prepend=-1))
+            else:
+                alone = self._encoded([f" {word}" for word in words.slice(k * JOINED, JOINED).to_pylist()])
+                ids = np.frombuffer(b"".join(alone), "<u4")
+                counts.append(np.array([len(raw) // 4 for raw in alone], "int64"))
+            found.append(ids)
+        return np.concatenate(found), np.concatenate(counts)
+
     def _encoded(self, texts: list[str]) -> list[bytes]:
         encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (encoding.ids for encoding in encodings)]
@@ -193,13 +244,13 @@ class Codec:
         return character[starts].astype("int32"), (character[ends - 1] + 1).astype("int32")
 
 
-def _looked_up(values: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of ``values[at[0]], values[at[1]], ...`` in one array, and where each of these begins and ends in it."""
-    sizes = np.fromiter(map(len, values), "int64", len(values)) // 4
+def _looked_up(
+    pool: np.ndarray, begins: np.ndarray, sizes: np.ndarray, at: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words ``at[0], at[1], ...`` in one array, and where each of these begins and ends in it."""
     counts = sizes[at]
     edges = np.concatenate([[0], np.cumsum(counts)])
-    begins = (np.cumsum(sizes) - sizes)[at] - edges[:-1]
-    return np.frombuffer(b"".join(values), "<u4")[np.repeat(begins, counts) + np.arange(edges[-1])], edges
+    return pool[np.repeat(begins[at] - edges[:-1], counts) + np.arange(edges[-1])], edges
 
 
 def _shrink(known: dict[str, bytes], fresh: list[str], most: int) -> None:

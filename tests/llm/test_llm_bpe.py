@@ -13,6 +13,7 @@ import tiktoken
 
 from cohortloom.llm import bpe
 from cohortloom.llm.catalogue import ENGLISH, MULTILINGUAL
+from tokenizers import Tokenizer
 
 
 @pytest.fixture(scope="module")
@@ -91,3 +92,41 @@ def test_lookups_equal_whole_texts_and_long_words_are_forgotten():
         assert found == expected
         assert len(own.words) <= 3 and long_word not in own.words
     assert own.encode_all([]) == []
+
+
+class Counting:
+    """A tokenizer that remembers how many texts it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, add_special_tokens):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+
+@pytest.mark.parametrize("vocabulary", [MULTILINGUAL, ENGLISH])
+def test_unknown_words_go_to_the_library_many_at_once(vocabulary):
+    rng = random.Random(7)
+    letters = "aAeé'sß漢\U0001f600.,!\n\t019_-\u2003"
+    texts = [" ".join("x" + "".join(rng.choices(letters, k=rng.randrange(9))) + "y" for _ in range(700)) for _ in range(6)]
+    counting = Counting(bpe.codec(vocabulary).tokenizer)
+    own = bpe.Codec(counting, vocabulary.pattern)
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in own.encode_all(texts)]
+    assert got == [e.ids for e in counting.encode_batch(texts, add_special_tokens=False)]
+    assert 3000 < len(own.words) and counting.texts < 50
+
+
+def test_words_are_encoded_one_by_one_where_tokens_end_elsewhere():
+    tokenizer = Tokenizer.from_file(ENGLISH.path)
+    tokenizer.encode_special_tokens = True
+    tokenizer.add_tokens(["one two"])
+    own = bpe.Codec(tokenizer, ENGLISH.pattern)
+    words = ["zero", "one", "two", "three"]
+    expected = [tokenizer.encode(f" {word}", add_special_tokens=False).ids for word in words]
+    for _ in range(2):
+        got = own.encode_all([f"a {word}" for word in words])
+        assert [np.frombuffer(raw, "<u4").tolist()[1:] for raw in got] == expected
