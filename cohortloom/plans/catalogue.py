@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,10 +77,15 @@ STUDY_PICKS = ("GSE5281", "STUDY-X1", "GSE33000", "GSE125583", "STUDY-X2")
 
 
 def bronze_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """The three cohorts delivered as CSV into a new lake in the shared scratch folder."""
+    """The three cohorts delivered as CSV, side by side, into a new lake in the shared scratch folder."""
     lake = Lake.at(spark, scratch_path(spark, "lake"))
-    for study, frame in cohorts(spark, sf_dir).items():
-        frame.write.options(**CSV_OUT).csv(lake.path(BRONZE, FILES[study]))
+    sent = cohorts(spark, sf_dir)
+    with ThreadPoolExecutor(max_workers=len(sent)) as pool:
+        writes = [
+            pool.submit(frame.write.options(**CSV_OUT).csv, lake.path(BRONZE, FILES[study])) for study, frame in sent.items()
+        ]
+        for write in writes:
+            write.result()
     return lake
 
 

@@ -10,7 +10,7 @@ import pytest
 from conftest import FILES, RAW, write_csv
 from pyspark.sql import functions as F
 
-from cohortloom import QualityGateError, SourceMapping, enforce_gate, run_all, run_study
+from cohortloom import QualityGateError, SourceMapping, enforce_gate, run_all, run_study, validate
 from cohortloom.plans.run import deliver
 from cohortloom.schema import CANONICAL_COLUMNS, QUARANTINE_SCHEMA, SILVER_SCHEMA
 from cohortloom.sources.lake import BRONZE, QUARANTINE, SILVER, Lake, exists
@@ -241,6 +241,23 @@ def test_counts_come_from_the_write(lake, spark):
         assert manifest.rule_counts[row.r] == row["count"]
 
 
+def test_rules_are_counted_apart_from_the_write(lake, spark, monkeypatch):
+    """One observed measure, whatever the number of rules; flags of rejected rows count, and so do rules nobody fails."""
+    bronze(lake, "dupes.csv", **duplicates(braak=["9", "0", "I"], age_at_death=["", "", "70"]))
+    kind, observed = type(spark.range(0)), []
+    observe = kind.observe
+    monkeypatch.setattr(kind, "observe", lambda self, at, *measures: observed.append(len(measures)) or observe(self, at, *measures))
+    sources = {"GSE33000": "dupes.csv", "GSE5281": FILES["GSE5281"]}
+    manifest = run_all(lake, sources, run_id="c")
+    assert observed and observed[-1] == 1
+    monkeypatch.undo()
+    frames = [run_study(lake, study, path)[0] for study, path in sources.items()]
+    plain = validate(frames[0].unionByName(frames[1]))
+    assert manifest.rule_counts == plain.rule_counts and set(plain.rule_counts.values()) > {0}
+    assert (manifest.rows_in, manifest.rows_quarantined) == (plain.total, plain.counts["rows_quarantined"])
+    assert plain.quarantined.count() and manifest.rule_counts["missing_age"]
+
+
 def test_job(lake, capsys):
     from cohortloom.__main__ import main
 
