@@ -8,6 +8,7 @@ import sys
 
 import llm_cases as cases
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -130,3 +131,19 @@ def test_words_are_encoded_one_by_one_where_tokens_end_elsewhere():
     for _ in range(2):
         got = own.encode_all([f"a {word}" for word in words])
         assert [np.frombuffer(raw, "<u4").tolist()[1:] for raw in got] == expected
+
+
+def test_a_step_gives_memory_back(monkeypatch):
+    pool, calls = pa.default_memory_pool(), []
+
+    class Pool:
+        def release_unused(self):
+            calls.append(1)
+            pool.release_unused()
+
+    monkeypatch.setattr(bpe.pa, "default_memory_pool", Pool)
+    rows = 2 * bpe.SLICE + 1
+    columns = [pa.array(range(rows)), pa.array([f"one word{k} more" for k in range(rows)])]
+    batch = pa.RecordBatch.from_arrays(columns, names=["__row", "value"])
+    out = list(bpe._encoding(ENGLISH, False)(iter([batch])))
+    assert sum(part.num_rows for part in out) == rows and len(calls) == 3
